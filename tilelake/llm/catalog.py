@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup
+from . import exact_dedup, secret_scan
 from .common import ship
 
 _QUERIES = {
+    "op3_secret_scan": (secret_scan.op3_secret_scan, None),
     "op7_exact_dedup": (exact_dedup.op7_exact_dedup, exact_dedup.SQL),
 }
 
