@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, pii, secret_scan
+from . import exact_dedup, media, pii, secret_scan
 from .common import ship
 
 _QUERIES = {
     "op3_secret_scan": (secret_scan.op3_secret_scan, None),
     "op6_pii": (pii.op6_pii, None),
     "op7_exact_dedup": (exact_dedup.op7_exact_dedup, exact_dedup.SQL),
+    "op8_tiff_media": (media.op8_tiff_media, None),
 }
 
 
