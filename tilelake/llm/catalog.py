@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, media, pii, secret_scan
+from . import exact_dedup, media, pii, quality, rollups, secret_scan
 from .common import ship
 
 _QUERIES = {
@@ -14,6 +14,8 @@ _QUERIES = {
     "op6_pii": (pii.op6_pii, None),
     "op7_exact_dedup": (exact_dedup.op7_exact_dedup, exact_dedup.SQL),
     "op8_tiff_media": (media.op8_tiff_media, None),
+    "op9_quality": (quality.op9_quality, None),
+    "op10_token_rollups": (rollups.op10_token_rollups, rollups.SQL),
 }
 
 
