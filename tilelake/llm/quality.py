@@ -1,7 +1,7 @@
 """Operator 9, quality classifier: a weak-label model over heuristic labellers trains a hashed linear scorer.
 
-Overlapping heuristic labellers vote good, bad or abstain on each document. All documents are grouped by their vote
-pattern (at most 3**8 patterns, whatever the corpus size); expectation-maximisation over the weighted patterns estimates
+Overlapping heuristic labellers vote good, bad or abstain on each document; most look for one fault and abstain without it. All documents are grouped by their vote
+pattern (at most 3**9 patterns, whatever the corpus size); expectation-maximisation over the weighted patterns estimates
 how each labeller votes on good and on bad documents, and gives each pattern a posterior. A logistic scorer over hashed
 word shapes and short words is fitted to the posteriors of a bounded sample (train_docs documents, the first in hash
 order) and scores every document.
@@ -12,10 +12,12 @@ repeated rows are scored each; an empty table gives an empty result; texts are r
 
 from __future__ import annotations
 
+import operator
 import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -24,9 +26,10 @@ from pyspark.sql import functions as F
 
 from .common import documents, materialize, prune
 
-DIMS = 2048
+HASHED = 2046
+_STUTTER, _AGAIN, DIMS = HASHED, HASHED + 1, HASHED + 2
 GOOD, BAD, ABSTAIN = 1, 0, 2
-LABELLERS = ["decorated", "capitals", "shouting", "separators", "symbols", "repeated_lines", "function_words", "long_words"]
+LABELLERS = ["decorated", "capitals", "shouting", "separators", "symbols", "repeated_lines", "function_words", "dominant_word", "stutter"]
 # Frequent function words of the languages at hand.
 FUNCTION_WORDS = frozenset(
     "the of and to in a is that it with for as was on be by this are or from at der die und den das von zu mit sich des auf ist im dem nicht ein eine als auch es an "
@@ -35,6 +38,7 @@ FUNCTION_WORDS = frozenset(
 _DECORATED = re.compile(r"([^\w\s.,;:'\"-])\1{2}")
 _CLASSES = re.compile(r"([a-zß-ÿ]+)|([A-ZÀ-Þ]+)|([0-9]+)")
 _CACHE_WORDS = 400_000
+SHORT = 8  # words
 
 
 def shape(word: str) -> str:
@@ -53,9 +57,9 @@ class _Words:
         if got is None:
             if len(self.known) >= _CACHE_WORDS:
                 self.known.clear()
-            idx = [zlib.crc32(b"s" + shape(w).encode()) % DIMS]
+            idx = [zlib.crc32(b"s" + shape(w).encode()) % HASHED]
             if len(w) <= 4:
-                idx.append(zlib.crc32(b"w" + w.lower().encode()) % DIMS)
+                idx.append(zlib.crc32(b"w" + w.lower().encode()) % HASHED)
             letters = sum(c.isalpha() for c in w)
             bare = w.strip(".,;:!?\"'()").lower()
             got = (idx, letters, sum(c.isupper() for c in w), len(w) - letters - sum(c.isdigit() for c in w), bool(_DECORATED.search(w)), "!!" in w, bare in FUNCTION_WORDS)
@@ -64,7 +68,8 @@ class _Words:
 
 
 def votes_and_features(text: str | None, words: _Words) -> tuple[list[int], list[int], list[float]]:
-    counts = Counter((text or "").split())
+    run = (text or "").split()
+    counts = Counter(run)
     n = sum(counts.values())
     if not n:
         return [ABSTAIN] * len(LABELLERS), [], []
@@ -82,22 +87,22 @@ def votes_and_features(text: str | None, words: _Words) -> tuple[list[int], list
         bars += (w == "|") * k
         for i in idx:
             feats[i] = feats.get(i, 0) + k
-    few = n < 8
+    few = n < SHORT
+    stutter = sum(map(operator.eq, run, islice(run, 1, None))) / n
     lines = [x for x in (text or "").split("\n") if len(x) > 20]
     again = 1 - len(set(lines)) / len(lines) if lines else 0.0
 
-    def vote(value: float, bad_from: float, good_to: float, short_ok: bool = False) -> int:
-        if value >= bad_from and (short_ok or not few):
-            return BAD
-        return GOOD if value <= good_to and not few else ABSTAIN
+    def fault(value: float, bad_from: float, sure_when_short: bool = False) -> int:
+        return BAD if value >= bad_from and (sure_when_short or not few) else ABSTAIN
 
     v = [
-        vote(decorated / n, 0.15, 0.01, True), vote(capitals / max(letters, 1), 0.4, 0.12), vote(shouting / n, 0.15, 0.0), vote(bars / n, 0.15, 0.0),
-        vote(symbols / chars, 0.2, 0.08), vote(again, 0.6, 0.05) if len(lines) > 4 else ABSTAIN,
-        ABSTAIN if n < 30 else GOOD if function / n >= 0.08 else BAD if function / n < 0.01 else ABSTAIN, vote(chars / n, 14.0, 9.0),
+        fault(decorated / n, 0.15, True), fault(capitals / max(letters, 1), 0.4), fault(shouting / n, 0.15), fault(bars / n, 0.15), fault(symbols / chars, 0.3),
+        fault(again, 0.6) if len(lines) > 4 else ABSTAIN, ABSTAIN if n < 30 else GOOD if function / n >= 0.08 and stutter < 0.05 else BAD if function / n < 0.005 else ABSTAIN,
+        fault(max(counts.values()) / n, 0.25), fault(stutter, 0.2),
     ]
-    idx = sorted(feats)
-    return v, idx, [float(feats[i] / n) for i in idx]
+    extra = {_STUTTER: stutter, _AGAIN: again}
+    idx = sorted(feats) + sorted(extra)
+    return v, idx, [float(feats[i] / n) for i in idx[:-2]] + [float(extra[i]) for i in idx[-2:]]
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -107,10 +112,10 @@ def describe(docs: DataFrame) -> DataFrame:
         words = _Words()
         for df in frames:
             got = [votes_and_features(t, words) for t in df["text"]]
-            yield pd.DataFrame({"doc_id": df["doc_id"], "votes": [bytes(v) for v, _, _ in got], "idx": [i for _, i, _ in got], "val": [x for _, _, x in got]})
+            yield pd.DataFrame({"doc_id": df["doc_id"], "n_words": [len((t or "").split()) for t in df["text"]], "votes": [bytes(v) for v, _, _ in got], "idx": [i for _, i, _ in got], "val": [x for _, _, x in got]})
 
     ids = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {ids}, votes binary, idx array<int>, val array<float>")
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {ids}, n_words long, votes binary, idx array<int>, val array<float>")
 
 
 class WeakLabels:
@@ -122,8 +127,8 @@ class WeakLabels:
     def fit(self, patterns: np.ndarray, counts: np.ndarray) -> WeakLabels:
         n, m = patterns.shape
         good, bad = (patterns == GOOD).sum(1), (patterns == BAD).sum(1)
-        post = np.where(good + bad == 0, self.prior, (good + 0.5) / (good + 3 * bad + 1.0))  # a bad vote counts more: labellers look for one fault each
-        hot = np.stack([patterns == v for v in range(3)], axis=2).astype(float)
+        post = np.where(good + bad == 0, self.prior, (good + 0.1) / (good + 4 * bad + 0.2))  # each labeller looks for one fault: one bad vote outweighs a good one
+        hot = np.stack([patterns == v for v in (BAD, GOOD, ABSTAIN)], axis=2).astype(float)
         for _ in range(self.rounds):
             w1, w0 = counts * post, counts * (1 - post)
             self.prior = float((w1.sum() + 4) / (counts.sum() + 5))
@@ -136,11 +141,10 @@ class WeakLabels:
         return self
 
     def posterior(self, patterns: np.ndarray) -> np.ndarray:
-        m = patterns.shape[1]
-        s = np.log(self.given[:, np.arange(m), patterns]).sum(2)
+        """Of good. Where all abstain, which is a matter of length, there is no evidence and the prior stands."""
+        s = np.log(self.given[:, np.arange(patterns.shape[1]), patterns]).sum(2)
         odds = s[1] - s[0] + np.log(self.prior / (1 - self.prior))
-        silent = (patterns == ABSTAIN).all(1)  # no evidence at all
-        return np.where(silent, self.prior, 1 / (1 + np.exp(-np.clip(odds, -40, 40))))
+        return np.where((patterns == ABSTAIN).all(1), self.prior, 1 / (1 + np.exp(-np.clip(odds, -40, 40))))
 
     def accuracies(self) -> dict[str, float]:
         """Share of right votes among the votes that a labeller casts."""
@@ -175,7 +179,7 @@ def fit(described: DataFrame, train_docs: int = 4000) -> QualityModel:
         return QualityModel(WeakLabels(), np.zeros(DIMS), 0.0)
     votes = np.array([list(r.votes) for r in patterns])
     labels = WeakLabels().fit(votes, np.array([r.n for r in patterns], float))
-    rows = described.where(F.size("idx") > 0).orderBy(F.xxhash64("doc_id", "votes"), "doc_id", "votes").limit(train_docs).collect()
+    rows = described.where(F.col("n_words") >= SHORT).orderBy(F.xxhash64("doc_id", "votes"), "doc_id", "votes").limit(train_docs).collect()
     if not rows:
         return QualityModel(labels, np.zeros(DIMS), 0.0)
     x = np.zeros((len(rows), DIMS))
@@ -186,15 +190,18 @@ def fit(described: DataFrame, train_docs: int = 4000) -> QualityModel:
 
 def score(described: DataFrame, model: QualityModel, threshold: float = 0.5) -> DataFrame:
     labels, w, b = model.labels, model.w, model.b
+    prior = float(np.log(labels.prior / (1 - labels.prior)))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             if not len(df):
                 continue
             votes = np.array([list(v) for v in df["votes"]])
-            raw = np.array([float(w[np.asarray(i, int)] @ np.asarray(v, float)) + b if len(i) else np.nan for i, v in zip(df["idx"], df["val"], strict=True)])
-            p = np.where(np.isnan(raw), labels.prior, 1 / (1 + np.exp(-np.clip(np.nan_to_num(raw), -40, 40))))
-            yield pd.DataFrame({"doc_id": df["doc_id"], "posterior": np.round(labels.posterior(votes), 6), "score": np.round(p, 6), "accepted": np.isnan(raw) | (p >= threshold)})
+            raw = np.array([float(w[np.asarray(i, int)] @ np.asarray(v, float)) + b for i, v in zip(df["idx"], df["val"], strict=True)])
+            n = df["n_words"].to_numpy(float)
+            trust = n / (n + SHORT)  # a few words say little: the rest comes from the prior
+            p = 1 / (1 + np.exp(-np.clip(trust * raw + (1 - trust) * prior, -40, 40)))
+            yield pd.DataFrame({"doc_id": df["doc_id"], "posterior": np.round(labels.posterior(votes), 6), "score": np.round(p, 6), "accepted": (p >= threshold) | (n == 0)})
 
     ids = described.schema["doc_id"].dataType.simpleString()
     return described.mapInPandas(run, f"doc_id {ids}, posterior double, score double, accepted boolean")
