@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, media, pii, quality, rollups, secret_scan, token_files
+from . import exact_dedup, media, packing, pii, quality, rollups, secret_scan, token_files
 from .common import ship
 
 _QUERIES = {
     "op3_secret_scan": (secret_scan.op3_secret_scan, None),
+    "op4_best_fit_packing": (packing.op4_best_fit_packing, None),
     "op5_token_files": (token_files.op5_token_files, None),
     "op6_pii": (pii.op6_pii, None),
     "op7_exact_dedup": (exact_dedup.op7_exact_dedup, exact_dedup.SQL),
