@@ -57,7 +57,7 @@ def rake(keys: list[tuple], tokens: np.ndarray, targets: Targets, alpha: float,
     aims, codes = [], []
     for j, name in enumerate(MARGINS):
         cats = sorted({k[j] for k in keys}, key=lambda x: (x is not None, x))
-        code = np.array([cats.index(k[j]) for k in keys])
+        code = np.array([cats.index(k[j]) for k in keys], np.int64)
         sums = np.bincount(code, tokens, len(cats))
         share = shares(dict(zip(cats, sums, strict=True)), targets.get(name), alpha)
         aims.append(np.array([share[c] for c in cats]) * budget * tokens.sum())
