@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, media, mixing, packing, pii, quality, rollups, secret_scan, token_files
+from . import exact_dedup, jaccard, media, mixing, packing, pii, quality, rollups, secret_scan, token_files
 from .common import ship
 
 _QUERIES = {
     "op1_mixing": (mixing.op1_mixing, mixing.SQL),
+    "op2_jaccard_join": (jaccard.op2_jaccard_join, None),
     "op3_secret_scan": (secret_scan.op3_secret_scan, None),
     "op4_best_fit_packing": (packing.op4_best_fit_packing, None),
     "op5_token_files": (token_files.op5_token_files, None),
