@@ -76,6 +76,18 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def hash_sample(df: DataFrame, keys: list[str], most: int) -> DataFrame:
+    """At most `most` rows, the first in the order of a hash of keys; about all of them if df has no more.
+
+    A threshold on the hash first leaves about twice the rows wanted, so tasks send few rows whatever their number.
+    """
+    total = df.count()
+    h = F.xxhash64(*keys)
+    if total > 2 * most:
+        df = df.where(F.pmod(h, F.lit(1 << 40)) < int((1 << 40) * 2 * most / total))
+    return df.orderBy(h, *keys).limit(most)
+
+
 # --- bit filters -----------------------------------------------------------------------------------------------------
 # A set of keys as rows (bucket, bits) of 4 KB, at most 2**max_log2 bits in all: small enough to broadcast whatever the
 # number of keys. A miss is certain, a hit has to be checked.

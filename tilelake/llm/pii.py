@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, hash_sample, materialize
 
 KINDS = ["email", "ip", "card", "phone", "email_words", "phone_loose", "id_labelled"]
 BASE_KINDS = KINDS[:4]
@@ -253,7 +253,7 @@ def candidates(docs: DataFrame) -> DataFrame:
 def fit(found: DataFrame, train_rows: int = 20000) -> PiiModel:
     """Fits on at most train_rows candidates, the first in hash order."""
     each = found.select("doc_id", F.explode(F.concat("base", "loose")).alias("c")).select("doc_id", "c.*")
-    rows = each.orderBy(F.xxhash64("doc_id", "s", "k", "e"), "doc_id", "s", "k", "e").limit(train_rows).select("k", "x").collect()
+    rows = hash_sample(each, ["doc_id", "s", "k", "e"], train_rows).select("k", "x").collect()
     labelled = [(r.x, y) for r in rows if (y := weak_label(r.k, r.x)) is not None]
     if not labelled:
         return PiiModel.fit(np.zeros((0, len(FEATURES))), np.zeros(0))

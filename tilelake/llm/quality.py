@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, prune
+from .common import documents, hash_sample, materialize, prune
 
 HASHED = 2046
 _STUTTER, _AGAIN, DIMS = HASHED, HASHED + 1, HASHED + 2
@@ -179,7 +179,7 @@ def fit(described: DataFrame, train_docs: int = 4000) -> QualityModel:
         return QualityModel(WeakLabels(), np.zeros(DIMS), 0.0)
     votes = np.array([list(r.votes) for r in patterns])
     labels = WeakLabels().fit(votes, np.array([r.n for r in patterns], float))
-    rows = described.where(F.col("n_words") >= SHORT).orderBy(F.xxhash64("doc_id", "votes"), "doc_id", "votes").limit(train_docs).collect()
+    rows = hash_sample(described.where(F.col("n_words") >= SHORT), ["doc_id", "votes"], train_docs).collect()
     if not rows:
         return QualityModel(labels, np.zeros(DIMS), 0.0)
     x = np.zeros((len(rows), DIMS))
