@@ -36,11 +36,11 @@ def eigenvector(a: Column, d: Column, f: Column, e: Column, h: Column, i: Column
 
 
 def solve_two(h1: list[Column], h2: list[Column], x: list[Column]) -> tuple[Column, Column]:
-    """Least-squares c1, c2 of c1 h1 + c2 h2 = x, by normal equations."""
+    """Least-squares c1, c2 of c1 h1 + c2 h2 = x, by normal equations; null if h1 and h2 are parallel."""
     dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
     g11, g12, g22, b1, b2 = dot(h1, h1), dot(h1, h2), dot(h2, h2), dot(h1, x), dot(h2, x)
     det = g11 * g22 - g12 * g12
-    return (g22 * b1 - g12 * b2) / det, (g11 * b2 - g12 * b1) / det
+    return F.try_divide(g22 * b1 - g12 * b2, det), F.try_divide(g11 * b2 - g12 * b1, det)
 
 
 def lasso_two(h1: list[Column], h2: list[Column], x: list[Column], lam: float) -> tuple[Column, Column]:
@@ -48,8 +48,8 @@ def lasso_two(h1: list[Column], h2: list[Column], x: list[Column], lam: float) -
     dot = lambda u, v: u[0] * v[0] + u[1] * v[1] + u[2] * v[2]
     g11, g12, g22, b1, b2 = dot(h1, h1), dot(h1, h2), dot(h2, h2), dot(h1, x) - lam, dot(h2, x) - lam
     det = g11 * g22 - g12 * g12
-    c1, c2 = (g22 * b1 - g12 * b2) / det, (g11 * b2 - g12 * b1) / det
-    one, two = F.greatest(b1 / g11, F.lit(0.0)), F.greatest(b2 / g22, F.lit(0.0))
+    c1, c2 = F.try_divide(g22 * b1 - g12 * b2, det), F.try_divide(g11 * b2 - g12 * b1, det)
+    one, two = F.greatest(F.try_divide(b1, g11), F.lit(0.0)), F.greatest(F.try_divide(b2, g22), F.lit(0.0))
     inner = (c1 >= 0) & (c2 >= 0)
     gain1, gain2 = one * b1 - 0.5 * one * one * g11, two * b2 - 0.5 * two * two * g22
     first = gain1 >= gain2

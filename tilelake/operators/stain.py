@@ -110,7 +110,7 @@ class StainModel:
         conc = concentrations(hist, vectors, key, io)
         rows = conc.join(max_concentrations(conc, key, self.exact), key, "left")
         ok = (F.col("maxc_h") > 0) & (F.col("maxc_e") > 0) & F.col("c_h").isNotNull()
-        c1, c2 = F.col("c_h") / (F.col("maxc_h") / F.lit(self.maxc[0])), F.col("c_e") / (F.col("maxc_e") / F.lit(self.maxc[1]))
+        c1, c2 = F.try_divide("c_h", F.col("maxc_h") / F.lit(self.maxc[0])), F.try_divide("c_e", F.col("maxc_e") / F.lit(self.maxc[1]))
         new = [F.coalesce(F.when(ok, F.least(F.lit(255.0), io * F.exp(-(self.he[k][0] * c1 + self.he[k][1] * c2))).cast("int")), F.col(c)).alias(f"n{c}") for k, c in enumerate(CHANNELS)]
         return rows.select(key, *CHANNELS, "n", *new, F.coalesce(ok, F.lit(False)).alias("normalised"))
 
@@ -176,7 +176,7 @@ def standardise_brightness(hist: DataFrame, key: str = "slide_id") -> DataFrame:
     """hist with sr, sg, sb: channels over the slide's 90th percentile of all channel values, times 255, clipped."""
     values = hist.select(key, "n", F.explode(F.array(*CHANNELS)).alias("v"))
     p90 = values.groupBy(key).agg(F.percentile("v", 0.9, F.col("n")).alias("p90"))
-    return hist.join(p90, key).withColumns({f"s{c}": clip255(F.col(c) * 255.0 / F.col("p90")).cast("int") for c in CHANNELS}).drop("p90")
+    return hist.join(p90, key).withColumns({f"s{c}": clip255(F.coalesce(F.try_divide(F.col(c) * 255.0, F.col("p90")), F.lit(0.0))).cast("int") for c in CHANNELS}).drop("p90")
 
 
 def any_channel_tissue(beta: float = BETA) -> Column:
@@ -189,7 +189,7 @@ def sparse_stain_vectors(hist: DataFrame, key: str = "slide_id", beta: float = B
     od = hist.withColumns({f"od_{c}": optical_density_255(F.col(c)) for c in CHANNELS}).where(any_channel_tissue(beta))
     n = F.sum("n").cast("double")
     g = od.groupBy(key).agg(n.alias("w"), *[F.sum(F.col("n") * F.col(o)).alias(f"s_{o}") for o in OD], *[F.sum(F.col("n") * F.col(OD[i]) * F.col(OD[j])).alias(f"x_{k}") for k, (i, j) in COVARIANCES.items()])
-    cov = g.select(key, *[(F.col(f"s_{o}") / F.col("w")).alias(f"mean_{o}") for o in OD], *[((F.col(f"x_{k}") - F.col(f"s_{OD[i]}") * F.col(f"s_{OD[j]}") / F.col("w")) / (F.col("w") - 1)).alias(k) for k, (i, j) in COVARIANCES.items()])
+    cov = g.select(key, *[(F.col(f"s_{o}") / F.col("w")).alias(f"mean_{o}") for o in OD], *[F.when(F.col("w") > 1, (F.col(f"x_{k}") - F.col(f"s_{OD[i]}") * F.col(f"s_{OD[j]}") / F.col("w")) / (F.col("w") - 1)).alias(k) for k, (i, j) in COVARIANCES.items()])
     axes = principal_axes(cov)
     for name in ("mid", "top"):
         s = F.when(F.col(f"{name}_r") < 0, -1.0).otherwise(1.0)
