@@ -271,7 +271,7 @@ def star_pairs(labelled: DataFrame, percent: int, turn: int) -> DataFrame:
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
         a, label = _as_postings(df)
         size = np.floor(np.log(a["n"]) / np.log(1.25)).astype(np.int64)
-        o = np.lexsort((mix64(a["s"].view(U) ^ a["t"].view(U) ^ U(turn)) if turn else a["p"], label, size, a["t"]))
+        o = np.lexsort((mix64(a["s"].view(U) + U(turn)), label, size, a["t"]))  # the same sets are pivots of many lists
         a, label, size = a[o], label[o], size[o]
         new_class = np.append(True, (a["t"][1:] != a["t"][:-1]) | (size[1:] != size[:-1]))
         new_label = new_class | np.append(True, label[1:] != label[:-1])
@@ -322,23 +322,25 @@ def cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
 
 
 def fetch_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
-    """(s, tokens) of the needed(s, doc_id) sets. Only documents that a bit filter lets through are read into Python."""
+    """(s, tokens) of the needed(s, doc_id) sets. Only documents that a bit filter lets through are read into Python, and no text is shuffled."""
     log2 = filter_log2(needed.count())
     rows = maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), F.col("doc_id"), bit_filter(needed, "doc_id", log2), log2, "bf_flag").where("bf_flag").select("doc_id", "text")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, texts in _batches(frames):
-            sets = shingle_sets(texts, width)
-            yield pd.DataFrame({"doc_id": ids, "s": [_set_id(x) for x in sets], "tokens": sets})
+        for _, texts in _batches(frames):
+            sets = {_set_id(x): x for x in shingle_sets(texts, width)}
+            yield pd.DataFrame({"s": list(sets), "tokens": list(sets.values())})
 
-    found = rows.mapInPandas(run, "doc_id long, s long, tokens array<long>")
-    return materialize(found.join(needed, ["s", "doc_id"]).select("s", "tokens").dropDuplicates(["s"]), "sets")
+    return materialize(rows.mapInPandas(run, "s long, tokens array<long>"), "sets")
 
 
-def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verify(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, percent: int) -> DataFrame:
+    """The pairs that are similar, by their whole sets; sets of other documents are not touched. owned: s, low."""
+    ids = pairs.select(F.col("s1").alias("s")).union(pairs.select("s2")).distinct()
+    sets = fetch_sets(docs, width, materialize(ids.join(owned, "s").select("s", F.col("low").alias("doc_id")), "needed"))
     a, b = sets.select(F.col("s").alias("s1"), F.col("tokens").alias("t1")), sets.select(F.col("s").alias("s2"), F.col("tokens").alias("t2"))
     both = F.size(F.array_intersect("t1", "t2"))
-    return pairs.join(a, "s1").join(b, "s2").where((100 + percent) * both >= percent * (F.size("t1") + F.size("t2"))).select("s1", "s2")
+    return pairs.join(a, "s1").join(b, "s2").where((100 + percent) * both >= percent * (F.size("t1") + F.size("t2"))).select("s1", "s2").distinct()
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_heavy: int = 200_000, bucket_rows: int = 400_000, tile_rows: int = 200_000, star_rounds: int = 3) -> DataFrame:
@@ -350,8 +352,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_h
     total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // bucket_rows))
     lists = materialize(shared_lists(index_blobs(docs, width, percent, heavy, buckets, tile_rows), percent), "lists")
-    needed = lists.select("s").distinct().join(rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("doc_id")), "s")
-    sets = fetch_sets(docs, width, materialize(needed, "needed"))
+    owned = materialize(rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("low")), "owned")
     tried = links = None
     labelled = lists.withColumn("label", F.col("s"))
     for turn in range(star_rounds + 1):
@@ -360,7 +361,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_h
             pairs = pairs.join(tried, ["s1", "s2"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = materialize(verify(pairs, sets, percent), "links")
+        found = materialize(verify(docs, width, pairs, owned, percent), "links")
         if found.isEmpty():
             if turn == 0:
                 links = found
@@ -368,7 +369,6 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_h
         links = found if links is None else links.unionByName(found)
         labels = materialize(component_labels(links.select(F.col("s1").alias("a"), F.col("s2").alias("b"))), "labels")
         labelled = lists.join(labels.select(F.col("node").alias("s"), "label"), "s", "left").withColumn("label", F.coalesce("label", "s"))
-    owned = rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("low"))
     if links.isEmpty():
         classes = owned.select("s", F.col("low").alias("component_id"))
     else:
