@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from tilelake.llm.jaccard import jaccard_components, keep_one_of_each_group, shingle_sets
+from tilelake.llm.jaccard import SIGN_BITS, jaccard_components, keep_one_of_each_group, parity_sign, shingle_sets, signs_allow
 
 
 def words(t):
@@ -77,3 +77,22 @@ def test_odd_tables(spark, odd_docs):
     kept = keep_one_of_each_group(odd_docs)
     assert kept.columns == odd_docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4, 5, 6, 8, 8, 10]
+
+
+def test_signs_never_rule_out_similar_sets():
+    rng = np.random.default_rng(2)
+    ruled_out = 0
+    for _ in range(3000):
+        n = int(rng.integers(1, 900))
+        x = np.unique(rng.integers(-(2**63), 2**63 - 1, n))
+        keep = x[rng.random(len(x)) < rng.choice([0.5, 0.85, 0.9, 0.95, 1.0])]
+        y = np.union1d(keep, rng.integers(-(2**63), 2**63 - 1, int(rng.integers(0, n // 8 + 1))))
+        if not len(y):
+            continue
+        both = len(np.intersect1d(x, y))
+        similar = 100 * both >= 80 * (len(x) + len(y) - both)
+        a, b = (np.frombuffer(parity_sign(v), np.uint64).reshape(1, SIGN_BITS // 64) for v in (x, y))
+        allowed = bool(signs_allow(a, b, np.array([len(x) + len(y)]), 80)[0])
+        assert allowed or not similar
+        ruled_out += not allowed
+    assert ruled_out > 500

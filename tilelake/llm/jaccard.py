@@ -8,7 +8,8 @@ and index lists hold (set, size, position) for prefix tokens. Two kinds of skipp
   reach the needed overlap from their positions are skipped whole.
 * Answer level: what counts is which sets are connected. In star rounds each set of a list meets one pivot only; a set
   that is similar to a pivot takes over the pivot's answer (its component), and pairs within a component are never
-  made. Only sets of different components are then compared exhaustively.
+  made. Only sets of different components are then compared exhaustively, and pairs whose parity signs (512 bits a
+  set) prove them too far apart are not made either.
 
 Frequent tokens (at most max_heavy of them, found by counting all documents) come last in the order and are the only
 thing that is broadcast; the order changes cost, not results. Lists longer than tile_rows are cut into tiles of hashed
@@ -94,6 +95,21 @@ def _set_id(tokens: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
+SIGN_BITS = 512
+
+
+def parity_sign(tokens: np.ndarray) -> bytes:
+    """Parities of how many tokens fall into each of SIGN_BITS cells. Two sets differ in at least as many tokens as their signs differ in bits."""
+    cells = np.bincount(tokens.view(U).astype(np.int64) & (SIGN_BITS - 1), minlength=SIGN_BITS)
+    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+
+
+def signs_allow(x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets with these signs (rows of uint64) and sizes n in all may be similar: the overlap is at most (n - differing tokens) / 2."""
+    apart = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
+    return (100 + percent) * (n - apart) >= 2 * percent * n
+
+
 def _batches(frames: Iterator[pd.DataFrame], size: int = 1 << 21) -> Iterator[tuple[list, list]]:
     """(doc_ids, texts) of about size characters at a time."""
     for df in frames:
@@ -110,7 +126,7 @@ def _batches(frames: Iterator[pd.DataFrame], size: int = 1 << 21) -> Iterator[tu
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of two kinds: 0, a document (doc_id, n, s: set id); 1, a token (s) that n documents of one task share."""
+    """Rows of two kinds: 0, a document (doc_id, n, s: set id, sign); 1, a token (s) that n documents of one task share."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
@@ -119,11 +135,11 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         def flush() -> pd.DataFrame:
             t, c = np.unique(np.concatenate(held), return_counts=True)
             t, c = t[c > 1], c[c > 1]
-            return pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * len(t), "Int64"), "n": c, "s": t})
+            return pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * len(t), "Int64"), "n": c, "s": t, "sign": None})
 
         for ids, texts in _batches(frames):
             sets = shingle_sets(texts, width)
-            yield pd.DataFrame({"kind": 0, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in ids], "Int64"), "n": [len(x) for x in sets], "s": [_set_id(x) for x in sets]})
+            yield pd.DataFrame({"kind": 0, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in ids], "Int64"), "n": [len(x) for x in sets], "s": [_set_id(x) for x in sets], "sign": [parity_sign(x) for x in sets]})
             held += sets
             size += sum(map(len, sets))
             if size > 4_000_000:
@@ -132,7 +148,7 @@ def describe(docs: DataFrame, width: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, s long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, s long, sign binary")
 
 
 def heavy_tokens(described: DataFrame, max_heavy: int, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
@@ -292,15 +308,17 @@ def star_pairs(labelled: DataFrame, percent: int, turn: int) -> DataFrame:
 
 
 def cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """All pairs of sets of different components that a list's blocks allow."""
+    """All pairs of sets of different components that a list's blocks and the sets' signs allow."""
 
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values(["t", "n", "p", "s"], ignore_index=True)
         a, label = _as_postings(df)
+        sign = np.frombuffer(b"".join(df["sign"]), U).reshape(len(df), SIGN_BITS // 64)
         cut = _lists(a)
         mixed = np.logical_or.reduceat(label != np.repeat(label[cut[:-1]], np.diff(cut)), cut[:-1]) if len(a) else []
         xs, ys = [], []
         for k in np.flatnonzero(mixed):
-            part, lab = a[cut[k] : cut[k + 1]], label[cut[k] : cut[k + 1]]
+            part, lab, own = a[cut[k] : cut[k + 1]], label[cut[k] : cut[k + 1]], sign[cut[k] : cut[k + 1]]
             block = np.append(np.flatnonzero(np.append(True, (part["n"][1:] != part["n"][:-1]) | (part["p"][1:] != part["p"][:-1]))), len(part))
             n, p = part["n"][block[:-1]].astype(int), part["p"][block[:-1]].astype(int)
             for i in range(len(n)):
@@ -311,6 +329,8 @@ def cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
                     ok = lab[u] != lab[v]
                     if i == j:
                         ok &= u < v
+                    u, v = u[ok], v[ok]
+                    ok = signs_allow(own[u], own[v], np.full(len(u), n[i] + n[j]), percent)
                     xs.append(part["s"][u[ok]])
                     ys.append(part["s"][v[ok]])
         return _pairs(np.concatenate(xs), np.concatenate(ys)) if xs else _pairs(np.zeros(0, np.int64), np.zeros(0, np.int64))
@@ -347,16 +367,16 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_h
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
     spark = docs.sparkSession
     described = materialize(describe(docs, width), "shingles")
-    rows = described.where("kind = 0").select("doc_id", "n", "s")
+    rows = described.where("kind = 0").select("doc_id", "n", "s", "sign")
     heavy = heavy_tokens(described, max_heavy)
     total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // bucket_rows))
     lists = materialize(shared_lists(index_blobs(docs, width, percent, heavy, buckets, tile_rows), percent), "lists")
-    owned = materialize(rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("low")), "owned")
+    owned = materialize(rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("low"), F.first("sign").alias("sign")), "owned")
     tried = links = None
     labelled = lists.withColumn("label", F.col("s"))
     for turn in range(star_rounds + 1):
-        pairs = star_pairs(labelled, percent, turn) if turn < star_rounds else cross_pairs(labelled, percent)
+        pairs = star_pairs(labelled, percent, turn) if turn < star_rounds else cross_pairs(labelled.join(owned.select("s", "sign"), "s"), percent)
         if tried is not None:
             pairs = pairs.join(tried, ["s1", "s2"], "left_anti")
         pairs = materialize(pairs, "pairs")
