@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,11 @@ COVARIANCES = {"c_rr": (0, 0), "c_rg": (0, 1), "c_rb": (0, 2), "c_gg": (1, 1), "
 HE = ["he_r1", "he_g1", "he_b1", "he_r2", "he_g2", "he_b2"]
 
 
+def _kept(per_slide: DataFrame) -> DataFrame:
+    """A table of one row per slide that later steps use more than once, computed once. Lost blocks are computed again."""
+    return per_slide.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def color_histogram(pixels: DataFrame, key: str = "slide_id") -> DataFrame:
     """(key, r, g, b, n)."""
     return pixels.groupBy(key, *CHANNELS).agg(F.count("*").alias("n"))
@@ -73,7 +79,7 @@ def _angles(hist: DataFrame, axes: DataFrame, key: str, alpha: float, io: float,
 
 def stain_vectors(hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA, exact: bool = True) -> DataFrame:
     """key, n_tissue, he_r1 ... he_b2: the stain with more red first."""
-    axes = principal_axes(tissue_moments(hist, key, io, beta))
+    axes = _kept(principal_axes(tissue_moments(hist, key, io, beta)))
     ends = axes.join(_angles(hist, axes, key, alpha, io, beta, exact), key, "left")
     out = ends.select(key, "n_tissue", *[(F.col(f"mid_{c}") * F.cos(F.col("phi")[k]) + F.col(f"top_{c}") * F.sin(F.col("phi")[k])).alias(f"v{k}_{c}") for k in (0, 1) for c in CHANNELS])
     first = F.col("v0_r") > F.col("v1_r")
@@ -106,7 +112,7 @@ class StainModel:
 
     def lut(self, hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA) -> DataFrame:
         """(key, r, g, b, n) -> nr, ng, nb and normalised: the colour table of each slide."""
-        vectors = stain_vectors(hist, key, io, beta, alpha, self.exact)
+        vectors = _kept(stain_vectors(hist, key, io, beta, alpha, self.exact))
         conc = concentrations(hist, vectors, key, io)
         rows = conc.join(max_concentrations(conc, key, self.exact), key, "left")
         ok = (F.col("maxc_h") > 0) & (F.col("maxc_e") > 0) & F.col("c_h").isNotNull()
@@ -122,7 +128,7 @@ class StainModel:
 
 def stain_statistics(hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA, exact: bool = True) -> DataFrame:
     """One row per slide: n_tissue, the stain vectors and the maximal concentrations."""
-    vectors = stain_vectors(hist, key, io, beta, alpha, exact)
+    vectors = _kept(stain_vectors(hist, key, io, beta, alpha, exact))
     return vectors.join(max_concentrations(concentrations(hist, vectors, key, io), key, exact), key, "left")
 
 
@@ -162,7 +168,7 @@ class StainNormalizer:
     def fit(self, pixels: DataFrame, io: float = IO, beta: float = BETA, alpha: float = ALPHA) -> StainModel:
         one = pixels.select(F.lit(0).alias("slide_id"), *CHANNELS)
         hist = color_histogram(one)
-        vectors = stain_vectors(hist, "slide_id", io, beta, alpha, self.exact)
+        vectors = _kept(stain_vectors(hist, "slide_id", io, beta, alpha, self.exact))
         row = vectors.join(max_concentrations(concentrations(hist, vectors, "slide_id", io), "slide_id", self.exact), "slide_id").head()
         if row is None or row.he_r1 is None:
             raise ValueError("the reference has too little tissue")

@@ -70,7 +70,7 @@ def stain(what: str) -> str:
         return "WITH " + ",".join(parts) + f" SELECT slide_id, n_tissue, {rounded} FROM he"
     parts.append(_solve("od", "he", "0e0"))
     if what == "conc":
-        return "WITH " + ",".join(parts) + " SELECT slide_id, r, g, b, count(*) AS n, any_value(round(c_h, 6)) AS c_h, any_value(round(c_e, 6)) AS c_e FROM cc GROUP BY slide_id, r, g, b"
+        return "WITH " + ",".join(parts) + " SELECT slide_id, r, g, b, count(*) AS n, any_value(CASE WHEN round(c_h, 6) = 0 THEN 0e0 ELSE round(c_h, 6) END) AS c_h, any_value(CASE WHEN round(c_e, 6) = 0 THEN 0e0 ELSE round(c_e, 6) END) AS c_e FROM cc GROUP BY slide_id, r, g, b"
     parts.append("mx AS (SELECT slide_id, quantile_cont(c_h, 0.99) AS maxc_h, quantile_cont(c_e, 0.99) AS maxc_e FROM cc GROUP BY slide_id)")
     if what == "maxc":
         return "WITH " + ",".join(parts) + " SELECT slide_id, round(maxc_h, 6) AS maxc_h, round(maxc_e, 6) AS maxc_e FROM mx"
@@ -111,7 +111,7 @@ def sparse(what: str) -> str:
     pick = "y1 * b1 - 0.5e0 * y1 * y1 * g11 >= y2 * b2 - 0.5e0 * y2 * y2 * g22"
     parts.append(f"cc AS (SELECT *, CASE WHEN x1 >= 0 AND x2 >= 0 THEN x1 WHEN {pick} THEN y1 ELSE 0e0 END AS c_h, CASE WHEN x1 >= 0 AND x2 >= 0 THEN x2 WHEN {pick} THEN 0e0 ELSE y2 END AS c_e FROM c0)")
     new = ", ".join(f"any_value(CAST(floor(greatest(0e0, least(255e0, 255e0 * exp(-({HE_REF[k][0]}e0 * c_h + {HE_REF[k][1]}e0 * c_e))))) AS INT)) AS n{c}" for k, c in enumerate("rgb"))
-    return "WITH " + ",".join(parts) + f" SELECT slide_id, r, g, b, count(*) AS n, any_value(round(c_h, 6)) AS c_h, any_value(round(c_e, 6)) AS c_e, {new} FROM cc GROUP BY slide_id, r, g, b"
+    return "WITH " + ",".join(parts) + f" SELECT slide_id, r, g, b, count(*) AS n, any_value(CASE WHEN round(c_h, 6) = 0 THEN 0e0 ELSE round(c_h, 6) END) AS c_h, any_value(CASE WHEN round(c_e, 6) = 0 THEN 0e0 ELSE round(c_e, 6) END) AS c_e, {new} FROM cc GROUP BY slide_id, r, g, b"
 
 
 OD_TISSUE_STATS = OD_TISSUE_STATS.replace(" AS or", " AS o_red").replace(" or >=", " o_red >=").replace("(or", "(o_red").replace(", or)", ", o_red)")
