@@ -4,7 +4,8 @@ import re
 import numpy as np
 import pytest
 
-from tilelake.llm.jaccard import SIGN_BITS, jaccard_components, keep_one_of_each_group, parity_sign, shingle_sets, signs_allow
+from tilelake.llm import jaccard
+from tilelake.llm.jaccard import allowed_apart, jaccard_components, keep_one_of_each_group, least_apart, parity_sign, shingle_sets
 
 
 def words(t):
@@ -90,9 +91,44 @@ def test_signs_never_rule_out_similar_sets():
         if not len(y):
             continue
         both = len(np.intersect1d(x, y))
+        assert int(least_apart([parity_sign(x)], [parity_sign(y)])[0]) <= len(x) + len(y) - 2 * both
         similar = 100 * both >= 80 * (len(x) + len(y) - both)
-        a, b = (np.frombuffer(parity_sign(v), np.uint64).reshape(1, SIGN_BITS // 64) for v in (x, y))
-        allowed = bool(signs_allow(a, b, np.array([len(x) + len(y)]), 80)[0])
+        allowed = bool((least_apart([parity_sign(x)], [parity_sign(y)]) <= allowed_apart(np.array([len(x) + len(y)]), 80))[0])
         assert allowed or not similar
         ruled_out += not allowed
     assert ruled_out > 500
+
+
+def chains(seed, n=240):
+    """Near copies in drifting chains: many sets just above and below the threshold from each other's leaders."""
+    rng = random.Random(seed)
+    vocab, out = [f"v{i}" for i in range(400)], []
+    for c in range(6):
+        w = rng.choices(vocab, k=rng.choice([30, 60, 120]))
+        for i in range(n // 6):
+            if rng.random() < 0.3:
+                w[rng.randrange(len(w))] = rng.choice(vocab)
+            v = list(w)
+            if rng.random() < 0.2:
+                v[rng.randrange(len(v))] = "odd"
+            out.append((c * 1000 + i, " ".join(v)))
+    return out
+
+
+@pytest.mark.parametrize(("seed", "options"), [(1, {}), (2, {"star_rounds": 1}), (3, {"star_rounds": 1, "max_heavy": 5, "tile_rows": 9, "bucket_rows": 300})])
+def test_derived_answers_against_brute_force(spark, monkeypatch, seed, options):
+    rows = chains(seed)
+    units = []
+    whole = jaccard.follower_links
+    monkeypatch.setattr(jaccard, "follower_links", lambda docs, width, open_pairs, *a: units.append(open_pairs.count()) or whole(docs, width, open_pairs, *a, part=3))
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), **options).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows)
+    assert options.get("star_rounds") != 1 or sum(units) > 0  # some pairs were decided by differences alone
+
+
+def test_many_sets_sharing_one_passage(spark):
+    rng = random.Random(4)
+    passage = " ".join(rng.choices([f"p{i}" for i in range(500)], k=50))
+    rows = [(i, f"{passage} " + " ".join(f"u{i}x{j}" for j in range(20))) for i in range(3000)] + [(5000 + i, f"{passage} same tail {i}") for i in range(50)]
+    got = {r.doc_id: r.component_id for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), tile_rows=700).collect()}
+    assert all(got[i] == i for i in range(3000)) and all(got[5000 + i] == 5000 for i in range(50))

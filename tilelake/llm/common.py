@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import gc
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +32,11 @@ def ship(spark: SparkSession) -> None:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the session; one of our own only where the session names none."""
+    """The shared folder of the session. Where it names none, a folder of our own, but only if all tasks run on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _LOCAL_SCRATCH:
             _LOCAL_SCRATCH.append("file://" + tempfile.mkdtemp(prefix="tilelake-"))
         base = _LOCAL_SCRATCH[0]
@@ -61,8 +68,64 @@ def write_table(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    return write_table(df, scratch_path(df.sparkSession, name))
+_SCOPES: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables that materialize() wrote inside, but for those that outlive it."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete_path(spark, path)
+
+
+def materialize(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
+    """df, written to the shared folder and read back. outlive: for the scope around the present one to delete, if there is one."""
+    path = scratch_path(df.sparkSession, name)
+    at = len(_SCOPES) - (2 if outlive else 1)
+    if at >= 0:
+        _SCOPES[at].append(path)
+    return write_table(df, path)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """For iterators that Python workers run: gives the memory they freed back to the system, as workers are kept."""
+
+    @functools.wraps(run)
+    def wrapped(frames: Iterator) -> Iterator:
+        try:
+            yield from run(frames)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def give_back() -> None:
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def join_counted(left: DataFrame, right: DataFrame, key: str, rows: int, share: int = 1000) -> DataFrame:
+    """left joined to right(key, copies, ...), which has each key once with the number of left's rows that hold it.
+
+    Keys with more than 1/share of the rows number at most share, so they are broadcast and never fill one task; the others are shuffled.
+    Rows of left without a partner get nulls. copies is dropped.
+    """
+    hot = F.col("copies") * share > rows
+    (flag,) = fresh(left, "hot_flag")
+    marked = left.join(F.broadcast(right.where(hot).select(F.col(key), F.lit(True).alias(flag))), key, "left")
+    columns = [c for c in right.columns if c not in (key, "copies")]
+    some = marked.where(F.col(flag)).drop(flag).join(F.broadcast(right.where(hot).select(key, *columns)), key)
+    rest = marked.where(F.col(flag).isNull()).drop(flag).join(right.where(~hot).select(key, *columns), key, "left")
+    return some.unionByName(rest)
 
 
 def fresh(df: DataFrame, *names: str) -> list[str]:
@@ -148,8 +211,8 @@ def component_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     mark = None
     for _ in range(max_rounds):
         both = now.union(now.select("b", "a"))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(low, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("copies"))
+        large = join_counted(both, low, "a", 2 * now.count()).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b"))).distinct()
         next_path = scratch_path(spark, "edges")
@@ -162,7 +225,10 @@ def component_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         mark = tuple(sign)
     else:
         raise RuntimeError("component labels did not settle")
-    return nodes.join(now.select(F.col("a").alias("node"), "b"), "node", "left").groupBy("node").agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = nodes.join(now.select(F.col("a").alias("node"), "b"), "node", "left").groupBy("node").agg(F.least(F.min("b"), F.col("node")).alias("label"))
+    labels = materialize(labels, "labels")
+    delete_path(spark, path)
+    return labels
 
 
 def concat_ws_columns(cols: list[Column]) -> Column:

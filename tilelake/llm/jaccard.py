@@ -1,23 +1,27 @@
 """Operator 2, n-gram Jaccard join with set-relation skipping.
 
-Sets are the distinct word shingles of each text, as 64-bit hashes. Equal sets share one set id, so copies never meet.
+Sets are the distinct word shingles of each text, as 64-bit hashes; equal sets are one, told apart by 128-bit digests.
 The join is exact: sets ordered by (frequency class, hash) can only be similar if they share a token of their prefixes,
-and index lists hold (set, size, position) for prefix tokens. Two kinds of skipping keep lists linear in practice:
+and index lists hold (set, size, position) for prefix tokens. Two kinds of skipping keep the work near linear:
 
 * Index level: a list falls into blocks of equal size and position. Pairs of blocks that fail the size test or cannot
   reach the needed overlap from their positions are skipped whole.
-* Answer level: what counts is which sets are connected. In star rounds each set of a list meets one pivot only; a set
-  that is similar to a pivot takes over the pivot's answer (its component), and pairs within a component are never
-  made. Only sets of different components are then compared exhaustively, and pairs whose parity signs (512 bits a
-  set) prove them too far apart are not made either.
+* Answer level. Star rounds compare each set of a list with one pivot. A set that is highly similar to its pivot follows
+  it: the tokens by which the two differ are kept, and from then on its answers are derived from the pivot's. Where a
+  leader's overlap with another set or leader is known, the differences bound the overlaps of all followers: either no
+  follower can be similar, or it is derived from the leader's overlap by counting its few differing tokens alone.
 
-Frequent tokens (at most max_heavy of them, found by counting all documents) come last in the order and are the only
-thing that is broadcast; the order changes cost, not results. Lists longer than tile_rows are cut into tiles of hashed
-halves, so no task holds one whole. Candidates are verified on the whole sets, fetched for those sets alone.
+Links matter up to connected sets: pairs within a component are never made, and sets that differ too much by their
+parity signs (about a bit a token) are ruled out in slices before a pair is made. What is left is verified on whole sets,
+which are fetched for these sets alone and met in units of one pivot and at most about 256 partners.
+
+Frequent tokens come last in the order. At most max_heavy of them are broadcast. The order changes cost, not results.
+Lists of more than tile_rows sets are cut into tiles of hashed halves, so no task holds one whole; as tiles are never
+smaller than the share of 1 / max_heavy of all tokens, every token with a longer list is among the frequent ones.
 
 Defined results: null or empty text has no shingles and is linked with nothing, itself as component; with fewer words
 than width, all words form one shingle; rows without doc_id have a null component and link nothing; repeated rows are
-returned each; an empty table gives an empty result; other columns are ignored.
+returned each; an empty table gives an empty result; other columns are ignored. doc_id is an integer.
 """
 
 from __future__ import annotations
@@ -29,8 +33,9 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
-from .common import bit_filter, component_labels, documents, filter_log2, materialize, maybe_in, prune
+from .common import bit_filter, component_labels, documents, filter_log2, give_back, join_counted, materialize, maybe_in, prune, scratch_scope, tidy
 
 U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -38,6 +43,8 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _PRIME, _STEP = U(0x100000001B3), U(0x9E3779B97F4A7C15)
 LONG_WORD = 64
 POSTING = np.dtype([("t", "<i8"), ("s", "<i8"), ("n", "<i4"), ("p", "<i4")])
+SINGLES = 256  # one in so many tokens that a batch holds once is counted, with that weight
+SLICE = 1 << 18  # pairs that are tested at once
 
 
 # --- sets --------------------------------------------------------------------------------------------------------------
@@ -91,26 +98,54 @@ def shingle_sets(texts: list[str | None], width: int) -> list[np.ndarray]:
     return out
 
 
-def _set_id(tokens: np.ndarray) -> int:
-    return int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+def _wide(tokens: np.ndarray) -> bytes:
+    """The digest that names a set."""
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
 
+def _short(wide: bytes, clash: frozenset[int] = frozenset()) -> int:
+    """64 bits of a digest, from its other half where different sets share the first."""
+    s = int.from_bytes(wide[:8], "big", signed=True)
+    return int.from_bytes(wide[8:], "big", signed=True) if s in clash else s
 
-SIGN_BITS = 512
+
+def sign_bits(n: int) -> int:
+    return max(256, 1 << (n - 1).bit_length()) if n else 256
 
 
 def parity_sign(tokens: np.ndarray) -> bytes:
-    """Parities of how many tokens fall into each of SIGN_BITS cells. Two sets differ in at least as many tokens as their signs differ in bits."""
-    cells = np.bincount(tokens.view(U).astype(np.int64) & (SIGN_BITS - 1), minlength=SIGN_BITS)
-    return np.packbits((cells & 1).astype(np.uint8)).tobytes()
+    """Parities of how many tokens fall into each cell. Two sets differ in at least as many tokens as their signs differ in bits."""
+    bits = sign_bits(len(tokens))
+    cells = np.bincount(tokens.view(U).astype(np.int64) & (bits - 1), minlength=bits)
+    return np.packbits((cells & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(x: np.ndarray, words: int) -> np.ndarray:
+    """Signs (rows of uint64) as they would be with fewer cells."""
+    return x if x.shape[1] == words else np.bitwise_xor.reduce(x.reshape(len(x), -1, words), axis=1)
+
+
+def least_apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """For pairs of signs, a number of tokens in which the two sets differ at least."""
+    lx, ly = np.fromiter(map(len, x), np.int64, len(x)), np.fromiter(map(len, y), np.int64, len(y))
+    out = np.zeros(len(x), np.int64)
+    for a, b in {*zip(lx.tolist(), ly.tolist(), strict=True)}:
+        rows = np.flatnonzero((lx == a) & (ly == b))
+        for at in range(0, len(rows), SLICE * 32 // max(a, b)):
+            r = rows[at : at + SLICE * 32 // max(a, b)]
+            u = np.frombuffer(b"".join([x[i] for i in r]), U).reshape(len(r), -1)
+            v = np.frombuffer(b"".join([y[i] for i in r]), U).reshape(len(r), -1)
+            words = min(a, b) // 8
+            out[r] = np.bitwise_count(_folded(u, words) ^ _folded(v, words)).sum(axis=1)
+    return out
 
 
-def signs_allow(x: np.ndarray, y: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
-    """Whether sets with these signs (rows of uint64) and sizes n in all may be similar: the overlap is at most (n - differing tokens) / 2."""
-    apart = np.bitwise_count(x ^ y).sum(axis=1).astype(np.int64)
-    return (100 + percent) * (n - apart) >= 2 * percent * n
+def allowed_apart(n: np.ndarray, percent: int) -> np.ndarray:
+    """In how many tokens two sets with n tokens in all may differ and still be similar."""
+    return (100 - percent) * n // (100 + percent)
 
 
-def _batches(frames: Iterator[pd.DataFrame], size: int = 1 << 21) -> Iterator[tuple[list, list]]:
+def _batches(frames: Iterator[pd.DataFrame], size: int = 1 << 20) -> Iterator[tuple[list, list]]:
     """(doc_ids, texts) of about size characters at a time."""
     for df in frames:
         ids, texts, n = [], [], 0
@@ -126,43 +161,54 @@ def _batches(frames: Iterator[pd.DataFrame], size: int = 1 << 21) -> Iterator[tu
 
 
 def describe(docs: DataFrame, width: int) -> DataFrame:
-    """Rows of two kinds: 0, a document (doc_id, n, s: set id, sign); 1, a token (s) that n documents of one task share."""
+    """Rows of three kinds: 0, a document (doc_id, n, s, wide, sign); 1, a token (s) that n sets of one batch share; 2, some of the tokens that a batch holds once, with weight n."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[np.ndarray] = []
+        done: set[bytes] = set()
         size = 0
 
         def flush() -> pd.DataFrame:
             t, c = np.unique(np.concatenate(held), return_counts=True)
-            t, c = t[c > 1], c[c > 1]
-            return pd.DataFrame({"kind": 1, "doc_id": pd.array([None] * len(t), "Int64"), "n": c, "s": t, "sign": None})
+            some = (mix64(t.view(U) + U(len(t))) & U(SINGLES - 1)) == 0  # other tokens in other batches
+            keep = (c > 1) | some
+            t, c = t[keep], c[keep]
+            return pd.DataFrame({"kind": np.where(c > 1, 1, 2), "doc_id": pd.array([None] * len(t), "Int64"), "n": np.where(c > 1, c, SINGLES), "s": t, "wide": None, "sign": None})
 
         for ids, texts in _batches(frames):
             sets = shingle_sets(texts, width)
-            yield pd.DataFrame({"kind": 0, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in ids], "Int64"), "n": [len(x) for x in sets], "s": [_set_id(x) for x in sets], "sign": [parity_sign(x) for x in sets]})
-            held += sets
-            size += sum(map(len, sets))
-            if size > 4_000_000:
+            wide = [_wide(x) for x in sets]
+            yield pd.DataFrame({"kind": 0, "doc_id": pd.array([None if pd.isna(d) else int(d) for d in ids], "Int64"), "n": [len(x) for x in sets], "s": [_short(w) for w in wide], "wide": wide, "sign": [parity_sign(x) for x in sets]})
+            for w, x in zip(wide, sets, strict=True):
+                if len(x) and w not in done:
+                    done.add(w)
+                    held.append(x)
+                    size += len(x)
+            if len(done) > 500_000:
+                done.clear()
+            if size > 2_000_000:
                 yield flush()
                 held, size = [], 0
         if held:
             yield flush()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, s long, sign binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "kind int, doc_id long, n long, s long, wide binary, sign binary")
 
 
-def heavy_tokens(described: DataFrame, max_heavy: int, least: int = 8) -> tuple[np.ndarray, np.ndarray]:
+def heavy_tokens(described: DataFrame, max_heavy: int) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent tokens (ascending by count) and their counts; at most max_heavy, by a threshold on the count."""
-    counts = materialize(described.where("kind = 1").groupBy("s").agg(F.sum("n").alias("n")).where(F.col("n") >= least), "token-counts")
-    levels = sorted(((r.level, r.k) for r in counts.groupBy(F.floor(F.log2("n")).alias("level")).agg(F.count("*").alias("k")).collect()), reverse=True)
+    each = described.where("kind > 0").groupBy("s").agg(F.sum(F.when(F.col("kind") == 1, F.col("n"))).alias("sure"), F.sum(F.when(F.col("kind") == 2, F.col("n"))).alias("rough"))
+    each = each.na.fill(0).where((F.col("sure") >= 8) | (F.col("rough") >= 4 * SINGLES)).select("s", (F.col("sure") + F.col("rough")).alias("n"))
+    counts = materialize(each.withColumn("level", F.floor(8 * F.log2("n"))), "token-counts")
     total, cut = 0, None
-    for level, k in levels:
+    for level, k in sorted(((r.level, r.k) for r in counts.groupBy("level").agg(F.count("*").alias("k")).collect()), reverse=True):
         if total + k > max_heavy:
             break
         total, cut = total + k, level
     if cut is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    rows = counts.where(F.floor(F.log2("n")) >= cut).orderBy("n", "s").toPandas()
+    rows = counts.where(F.col("level") >= cut).orderBy("n", "s").select("n", "s").toPandas()
     return rows["s"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
 
@@ -179,12 +225,30 @@ def may_link(n1, p1, n2, p2, percent: int):
     return (100 * n1 >= percent * n2) & ((100 + percent) * overlap >= percent * (n1 + n2))
 
 
-def index_blobs(docs: DataFrame, width: int, percent: int, heavy: tuple[np.ndarray, np.ndarray], buckets: int, tile_rows: int) -> DataFrame:
+def pack_postings(a: np.ndarray) -> bytes:
+    """Column by column, which leaves the compression of shuffles and files long runs."""
+    return b"".join(np.ascontiguousarray(a[c]).tobytes() for c in POSTING.names)
+
+
+def unpack_postings(blobs: list[bytes]) -> np.ndarray:
+    out = np.empty(sum(map(len, blobs)) // POSTING.itemsize, POSTING)
+    at = 0
+    for b in blobs:
+        k, place = len(b) // POSTING.itemsize, 0
+        for c in POSTING.names:
+            out[c][at : at + k] = np.frombuffer(b, POSTING[c], k, place)
+            place += k * POSTING[c].itemsize
+        at += k
+    return out
+
+
+def index_blobs(docs: DataFrame, width: int, percent: int, heavy: tuple[np.ndarray, np.ndarray], clash: frozenset[int], buckets: int, tile_rows: int) -> DataFrame:
     """(bucket, blob): postings of prefix tokens, packed; a set is written once per task."""
     sc = docs.sparkSession.sparkContext
     order = np.argsort(heavy[0])
     shared = sc.broadcast((heavy[0][order], order, heavy[1][order]))
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens, rank, count = shared.value
         done: set[int] = set()
@@ -213,28 +277,29 @@ def index_blobs(docs: DataFrame, width: int, percent: int, heavy: tuple[np.ndarr
             a, b = a[o], b[o]
             keys, first = np.unique(b, return_index=True)
             ends = np.append(first[1:], len(a))
-            return pd.DataFrame({"bucket": keys, "blob": [a[i:j].tobytes() for i, j in zip(first, ends, strict=True)]})
+            return pd.DataFrame({"bucket": keys, "blob": [pack_postings(a[i:j]) for i, j in zip(first, ends, strict=True)]})
 
         for ids, texts in _batches(frames):
             for d, x in zip(ids, shingle_sets(texts, width), strict=True):
                 if not len(x) or pd.isna(d):
                     continue
-                s = _set_id(x)
+                s = _short(_wide(x), clash)
                 if s in done:
                     continue
-                if len(done) > 2_000_000:
+                if len(done) > 500_000:
                     done.clear()
                 done.add(s)
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, x), len(tokens) - 1)
-                    key = np.where(tokens[at] == x, rank[at], -1)
-                    x = x[np.lexsort((x, key))]
+                    known = tokens[at] == x
+                    last = np.flatnonzero(known)
+                    x = np.concatenate([x[~known], x[last[np.argsort(rank[at[last]])]]])
                 k = prefix_size(len(x), percent)
                 part = np.empty(k, POSTING)
                 part["t"], part["s"], part["n"], part["p"] = x[:k], s, len(x), np.arange(k)
                 held.append(part)
                 size += k
-            if size > 1_000_000:
+            if size > 500_000:
                 yield flush()
                 held, size = [], 0
         if held:
@@ -243,166 +308,412 @@ def index_blobs(docs: DataFrame, width: int, percent: int, heavy: tuple[np.ndarr
     return docs.select("doc_id", "text").mapInPandas(run, "bucket long, blob binary")
 
 
-def _lists(a: np.ndarray) -> np.ndarray:
+def _ends(a: np.ndarray) -> np.ndarray:
     """First rows of the lists in postings sorted by token, and the end."""
-    return np.append(np.flatnonzero(np.append(True, a["t"][1:] != a["t"][:-1])), len(a))
+    return np.append(np.flatnonzero(np.append(True, a["t"][1:] != a["t"][:-1])), len(a)) if len(a) else np.zeros(1, np.int64)
 
 
 def shared_lists(blobs: DataFrame, percent: int) -> DataFrame:
-    """bucket, t, s, n, p of tokens that two sets or more share and that pass the tests."""
+    """(bucket, blob) with the lists of tokens that two sets or more share and that pass the tests, sorted by token, size, position."""
 
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        a = np.frombuffer(b"".join(df["blob"]), POSTING)
+        a = unpack_postings(df["blob"].tolist())
         a = a[np.lexsort((a["s"], a["p"], a["n"], a["t"]))]
         a = a[np.append(True, (a["t"][1:] != a["t"][:-1]) | (a["s"][1:] != a["s"][:-1]))]
-        cut = _lists(a)
+        cut = _ends(a)
         count = np.diff(cut)
         keep = count > 1
         two = np.flatnonzero(count == 2)
         x, y = a[cut[two]], a[cut[two] + 1]
         keep[two[~may_link(x["n"].astype(int), x["p"].astype(int), y["n"].astype(int), y["p"].astype(int), percent)]] = False
         a = a[np.repeat(keep, count)]
-        return pd.DataFrame({"bucket": key[0], "t": a["t"], "s": a["s"], "n": a["n"], "p": a["p"]})
-
-    return blobs.groupBy("bucket").applyInPandas(run, "bucket long, t long, s long, n int, p int")
+        out = pd.DataFrame({"bucket": [key[0]], "blob": [pack_postings(a)]}) if len(a) else pd.DataFrame({"bucket": [], "blob": []}).astype({"bucket": np.int64})
+        give_back()
+        return out
 
-
-def _as_postings(df: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    a = np.empty(len(df), POSTING)
-    for c in POSTING.names:
-        a[c] = df[c].to_numpy()
-    label = df["label"].to_numpy()
-    o = np.lexsort((a["s"], a["p"], a["n"], a["t"]))
-    return a[o], label[o]
+    return blobs.groupBy("bucket").applyInPandas(run, "bucket long, blob binary")
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
-    both = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
+    both = np.unique(np.stack([x, y], axis=1), axis=0) if len(x) else np.zeros((0, 2), np.int64)
     return pd.DataFrame({"s1": both[:, 0], "s2": both[:, 1]})
 
 
-def star_pairs(labelled: DataFrame, percent: int, turn: int) -> DataFrame:
-    """In each list and size class, one pivot of the most common component against each set of another component."""
+def _looked_up(s: np.ndarray, df: pd.DataFrame, column: str) -> np.ndarray:
+    """For each set its value in df(s, column), itself where there is none."""
+    if not len(df):
+        return s.copy()
+    keys, values = df["s"].to_numpy(np.int64), df[column].to_numpy(np.int64)
+    o = np.argsort(keys)
+    keys, values = keys[o], values[o]
+    at = np.minimum(np.searchsorted(keys, s), len(keys) - 1)
+    return np.where(keys[at] == s, values[at], s)
+
+
+def stars(a: np.ndarray, label: np.ndarray, percent: int, turn: int) -> pd.DataFrame:
+    """(s1: pivot, s2) in each list and size class: one pivot of the most common component against each set of another component."""
+    size = np.floor(np.log(a["n"]) / np.log(1.25)).astype(np.int64)
+    o = np.lexsort((mix64(a["s"].view(U) + U(turn)), label, size, a["t"]))  # the same sets are pivots of many lists
+    a, label, size = a[o], label[o], size[o]
+    new_class = np.append(True, (a["t"][1:] != a["t"][:-1]) | (size[1:] != size[:-1]))
+    new_label = new_class | np.append(True, label[1:] != label[:-1])
+    starts = np.flatnonzero(new_label)
+    n_in = np.diff(np.append(starts, len(a)))
+    klass = np.cumsum(new_class)[starts]
+    best = np.lexsort((mix64(a["s"][starts].view(U) + U(turn)), -n_in, klass))
+    best = best[np.append(True, klass[best][1:] != klass[best][:-1])]
+    pivot = np.repeat(starts[best], np.diff(np.append(np.flatnonzero(new_class), len(a))))
+    rows = np.flatnonzero(label != label[pivot])
+    p, q = a[pivot[rows]], a[rows]
+    small = p["n"] <= q["n"]
+    lo, hi = np.where(small, p, q), np.where(small, q, p)
+    ok = may_link(lo["n"].astype(int), lo["p"].astype(int), hi["n"].astype(int), hi["p"].astype(int), percent)
+    return _pairs(p["s"][ok], q["s"][ok])
+
+
+def star_pairs(lists: DataFrame, labels: DataFrame | None, percent: int, turn: int) -> DataFrame:
+    """Pairs of star round turn. labels: (bucket, s, label) of sets that have links so far."""
+    if labels is None:
+
+        @tidy
+        def first(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for df in frames:
+                for blob in df["blob"]:
+                    a = unpack_postings([blob])
+                    yield stars(a, a["s"].copy(), percent, turn)
+
+        return lists.select("blob").mapInPandas(first, "s1 long, s2 long").distinct()
+
+    def run(_: tuple, df: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        a = unpack_postings(df["blob"].tolist())
+        return stars(a, _looked_up(a["s"], known, "label"), percent, turn) if len(a) else _pairs(a["s"], a["s"])
+
+    return lists.groupBy("bucket").cogroup(labels.groupBy("bucket")).applyInPandas(run, "s1 long, s2 long").distinct()
+
+
+def sets_of(lists: DataFrame) -> DataFrame:
+    """(bucket, s), each once."""
+
+    @tidy
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for bucket, blob in zip(df["bucket"], df["blob"], strict=True):
+                yield pd.DataFrame({"bucket": bucket, "s": np.unique(unpack_postings([blob])["s"])})
+
+    return lists.mapInPandas(run, "bucket long, s long")
+
+
+def _blocks(part: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First rows (and the end), sizes and positions of a list's blocks."""
+    first = np.append(np.flatnonzero(np.append(True, (part["n"][1:] != part["n"][:-1]) | (part["p"][1:] != part["p"][:-1]))), len(part))
+    return first, part["n"][first[:-1]].astype(int), part["p"][first[:-1]].astype(int)
+
+
+def block_pairs(n: np.ndarray, p: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each block with the later blocks (itself included) that hold sets it may link with."""
+    for i in range(len(n)):
+        upto = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
+        yield i, i + np.flatnonzero(may_link(n[i], p[i], n[i:upto], p[i:upto], percent))
+
+
+def active_sets(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(bucket, s) of the sets that some block pair lets meet a set of another component."""
+
+    def run(key: tuple, df: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        a = unpack_postings(df["blob"].tolist())
+        label, found, cut = _looked_up(a["s"], known, "label"), [], _ends(a)
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            lab = label[lo:hi]
+            if (lab == lab[0]).all():
+                continue
+            first, n, p = _blocks(a[lo:hi])
+            least, most = np.minimum.reduceat(lab, first[:-1]), np.maximum.reduceat(lab, first[:-1])
+            use = np.zeros(len(n), bool)
+            for i, js in block_pairs(n, p, percent):
+                differ = js[(least[js] != least[i]) | (most[js] != most[i]) | (least[i] != most[i])]
+                use[differ] = True
+                use[i] |= len(differ) > 0
+            found.append(a["s"][lo:hi][np.repeat(use, np.diff(first))])
+        return pd.DataFrame({"bucket": key[0], "s": np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)})
+
+    return lists.groupBy("bucket").cogroup(labels.groupBy("bucket")).applyInPandas(run, "bucket long, s long")
+
+
+def cross_pairs(lists: DataFrame, active: DataFrame, percent: int) -> DataFrame:
+    """(s1, s2), s1 < s2: the leaders of sets of different components that the lists' blocks and the sets' signs allow.
+
+    active: bucket, s, label, leader, sign. Block pairs are tested in slices; only what passes is kept.
+    """
+
+    def run(_: tuple, df: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        none = _pairs(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if not len(known) or not len(df):
+            return none
+        known = known.sort_values("s", ignore_index=True)
+        keys, labels, leaders, signs = known["s"].to_numpy(), known["label"].to_numpy(), known["leader"].to_numpy(), known["sign"].tolist()
+        a = unpack_postings(df["blob"].tolist())
+        at = np.minimum(np.searchsorted(keys, a["s"]), len(keys) - 1)
+        a, at = a[keys[at] == a["s"]], at[keys[at] == a["s"]]
+        cut, found = _ends(a), []
+        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+            own = at[lo:hi]
+            if (labels[own] == labels[own[0]]).all():
+                continue
+            first, n, p = _blocks(a[lo:hi])
+            rows = [own[i:j] for i, j in zip(first[:-1], first[1:], strict=True)]
+            matrix: dict[int, np.ndarray] = {}
+
+            def sign_of(i: int) -> np.ndarray:
+                if i not in matrix:
+                    matrix[i] = np.frombuffer(b"".join([signs[r] for r in rows[i]]), U).reshape(len(rows[i]), -1)
+                return matrix[i]
+
+            for i, js in block_pairs(n, p, percent):
+                for j in js:
+                    x, y = sign_of(i), sign_of(j)
+                    words = min(x.shape[1], y.shape[1])
+                    x, y, far = _folded(x, words), _folded(y, words), int(allowed_apart(n[i] + n[j], percent))
+                    step = max(1, SLICE // (len(y) * words) + 1)
+                    for k in range(0, len(x), step):
+                        ok = labels[rows[i][k : k + step]][:, None] != labels[rows[j]][None, :]
+                        ok &= np.bitwise_count(x[k : k + step, None, :] ^ y[None, :, :]).sum(axis=2) <= far
+                        u, v = np.nonzero(ok)
+                        if len(u):
+                            b, c = leaders[rows[i][k + u]], leaders[rows[j][v]]
+                            found.append(np.unique(np.stack([np.minimum(b, c), np.maximum(b, c)], axis=1), axis=0))
+        if not found:
+            return none
+        both = np.unique(np.concatenate(found), axis=0)
+        both = both[both[:, 0] != both[:, 1]]
+        return _pairs(both[:, 0], both[:, 1])
+
+    return lists.groupBy("bucket").cogroup(active.groupBy("bucket")).applyInPandas(run, "s1 long, s2 long").distinct()
+
+
+# --- verification --------------------------------------------------------------------------------------------------------
+
+
+def near_by_sign(pairs: DataFrame, owned: DataFrame, percent: int) -> DataFrame:
+    """pairs(s1, s2) whose signs do not rule them out."""
+
+    def near(x: pd.Series, y: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
+        return pd.Series(least_apart(x.tolist(), y.tolist()) <= allowed_apart((n1 + n2).to_numpy(), percent))
+
+    near.__annotations__ = {"x": pd.Series, "y": pd.Series, "n1": pd.Series, "n2": pd.Series, "return": pd.Series}
+    a, b = (owned.select(F.col("s").alias(f"s{i}"), F.col("n").alias(f"n{i}"), F.col("sign").alias(f"g{i}")) for i in (1, 2))
+    ok = F.pandas_udf(near, BooleanType())("g1", "g2", "n1", "n2")
+    return pairs.join(a, "s1").join(b, "s2").where(ok).select("s1", "s2")
+
+
+def fetch(docs: DataFrame, wanted: DataFrame, owned: DataFrame) -> DataFrame:
+    """wanted(s, ...) with the text of each set's document. Only texts that a bit filter lets through are shuffled."""
+    wanted = materialize(wanted.join(owned.select("s", "low"), "s"), "wanted")
+    ids = wanted.select(F.col("low").alias("doc_id")).distinct()
+    log2 = filter_log2(ids.count())
+    rows = docs.select(F.col("doc_id").cast("long").alias("low"), "text")
+    rows = maybe_in(rows, F.col("low"), bit_filter(ids, "doc_id", log2), log2, "bf_flag").where("bf_flag").drop("bf_flag")
+    return wanted.join(rows, "low").drop("low")
+
+
+def _sets(df: pd.DataFrame, width: int, clash: frozenset[int]) -> dict[int, np.ndarray]:
+    """The sets of df(s, text); other documents with the same doc_id are passed over."""
+    out = {}
+    for x in shingle_sets(df["text"].tolist(), width):
+        out[_short(_wide(x), clash)] = x
+    wanted = set(df["s"].tolist())
+    return {s: x for s, x in out.items() if s in wanted}
+
+
+def overlaps(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, clash: frozenset[int], long: int = 100_000) -> DataFrame:
+    """pairs(s1, s2) with their overlap (both), sizes n1, n2 and, of highly similar ones, the tokens that s2 has more (plus) and less (minus) than s1.
+
+    A unit is one s1 with about 256 of its partners, or with one very long partner.
+    """
+    pairs = pairs.join(owned.select(F.col("s").alias("s2"), F.col("n").alias("m")), "s2")
+    most = pairs.groupBy("s1").count().agg(F.max("count")).head()[0] or 0
+    unit = F.when(F.col("m") > long, F.xxhash64("s2")).otherwise(F.pmod(F.xxhash64("s2"), F.lit(-(-most // 256) or 1)))
+    pairs = pairs.select("s1", unit.alias("unit"), "s2")
+    wanted = pairs.select("s1", "unit", F.col("s2").alias("s")).unionByName(pairs.select("s1", "unit", F.col("s1").alias("s")).distinct())
 
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        a, label = _as_postings(df)
-        size = np.floor(np.log(a["n"]) / np.log(1.25)).astype(np.int64)
-        o = np.lexsort((mix64(a["s"].view(U) + U(turn)), label, size, a["t"]))  # the same sets are pivots of many lists
-        a, label, size = a[o], label[o], size[o]
-        new_class = np.append(True, (a["t"][1:] != a["t"][:-1]) | (size[1:] != size[:-1]))
-        new_label = new_class | np.append(True, label[1:] != label[:-1])
-        starts = np.flatnonzero(new_label)
-        n_in = np.diff(np.append(starts, len(a)))
-        klass = np.cumsum(new_class)[starts]
-        best = np.lexsort((-n_in, klass))
-        best = best[np.append(True, klass[best][1:] != klass[best][:-1])]
-        pivot = np.repeat(starts[best], np.diff(np.append(np.flatnonzero(new_class), len(a))))
-        rows = np.flatnonzero(label != label[pivot])
-        p, q = a[pivot[rows]], a[rows]
-        small = p["n"] <= q["n"]
-        lo, hi = np.where(small, p, q), np.where(small, q, p)
-        ok = may_link(lo["n"].astype(int), lo["p"].astype(int), hi["n"].astype(int), hi["p"].astype(int), percent)
-        return _pairs(p["s"][ok], q["s"][ok])
-
-    return labelled.groupBy("bucket").applyInPandas(run, "s1 long, s2 long").distinct()
-
-
-def cross_pairs(labelled: DataFrame, percent: int) -> DataFrame:
-    """All pairs of sets of different components that a list's blocks and the sets' signs allow."""
+        sets = _sets(df, width, clash)
+        pivot, rows = sets[key[0]], []
+        for s, x in sets.items():
+            if s == key[0]:
+                continue
+            both = len(np.intersect1d(pivot, x, assume_unique=True))
+            close = 20 * (len(pivot) + len(x) - 2 * both) <= len(pivot) + len(x)
+            more = np.setdiff1d(x, pivot, assume_unique=True).tobytes() if close else None
+            less = np.setdiff1d(pivot, x, assume_unique=True).tobytes() if close else None
+            rows.append((key[0], s, len(pivot), len(x), both, more, less))
+        give_back()
+        return pd.DataFrame(rows, columns=["s1", "s2", "n1", "n2", "both", "plus", "minus"])
+
+    return fetch(docs, wanted, owned).groupBy("s1", "unit").applyInPandas(run, "s1 long, s2 long, n1 long, n2 long, both long, plus binary, minus binary")
+
+
+def leaders_of(near: DataFrame) -> DataFrame:
+    """(s, leader, n, apart, plus, minus): sets that follow the closest set they are highly similar to. Leaders follow none."""
+    close = near.where("plus is not null").withColumn("apart", F.col("n1") + F.col("n2") - 2 * F.col("both"))
+    best = close.groupBy("s2").agg(F.min_by(F.struct("s1", "n2", "apart", "plus", "minus"), F.struct("apart", "s1")).alias("x")).select(F.col("s2").alias("s"), F.col("x.s1").alias("leader"), F.col("x.n2").alias("n"), "x.apart", "x.plus", "x.minus")
+    best = materialize(best, "followers")
+    return materialize(best.join(best.select(F.col("s").alias("leader")), "leader", "left_anti"), "leaders")
+
+
+def derived_overlaps(both: int, z: np.ndarray, y: np.ndarray, plus: np.ndarray, minus: np.ndarray) -> int:
+    """The overlap of z with the set that has plus more and minus less than y, from y's overlap with z."""
+    return both + len(np.intersect1d(plus, z, assume_unique=True)) - len(np.intersect1d(minus, z, assume_unique=True))
+
+
+def follower_links(docs: DataFrame, width: int, open_pairs: DataFrame, followers: DataFrame, owned: DataFrame, clash: frozenset[int], percent: int, part: int = 2000) -> DataFrame:
+    """One link (s1, s2) for each unit of open_pairs(s1, s2, k1, k2: numbers of followers) in which some sets of the two leaders' are similar.
+
+    A unit holds two leaders, about part followers of each and their differences; all overlaps are derived from the leaders'.
+    """
+    k = lambda c: F.floor(F.col(c) / part).cast("int")
+    units = open_pairs.withColumn("u1", F.explode(F.sequence(F.lit(0), k("k1")))).withColumn("u2", F.explode(F.sequence(F.lit(0), k("k2"))))
+    units = materialize(units.select("s1", "s2", "u1", "u2", "k1", "k2"), "units")
+    texts = units.select("s1", "s2", "u1", "u2", F.col("s1").alias("s")).unionByName(units.select("s1", "s2", "u1", "u2", F.col("s2").alias("s")))
+    empty = F.lit(None).cast("binary")
+    rows = fetch(docs, texts, owned).select("s1", "s2", "u1", "u2", F.lit(0).alias("side"), "s", "text", empty.alias("plus"), empty.alias("minus"))
+    for side, k_, u in (("s1", "k1", "u1"), ("s2", "k2", "u2")):
+        own = units.join(followers.select(F.col("leader").alias(side), "s", "plus", "minus"), side).where(F.pmod(F.xxhash64("s"), k(k_) + 1) == F.col(u))
+        rows = rows.unionByName(own.select("s1", "s2", "u1", "u2", F.lit(int(side[1])).alias("side"), "s", F.lit(None).cast("string").alias("text"), "plus", "minus"))
 
     def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["t", "n", "p", "s"], ignore_index=True)
-        a, label = _as_postings(df)
-        sign = np.frombuffer(b"".join(df["sign"]), U).reshape(len(df), SIGN_BITS // 64)
-        cut = _lists(a)
-        mixed = np.logical_or.reduceat(label != np.repeat(label[cut[:-1]], np.diff(cut)), cut[:-1]) if len(a) else []
-        xs, ys = [], []
-        for k in np.flatnonzero(mixed):
-            part, lab, own = a[cut[k] : cut[k + 1]], label[cut[k] : cut[k + 1]], sign[cut[k] : cut[k + 1]]
-            block = np.append(np.flatnonzero(np.append(True, (part["n"][1:] != part["n"][:-1]) | (part["p"][1:] != part["p"][:-1]))), len(part))
-            n, p = part["n"][block[:-1]].astype(int), part["p"][block[:-1]].astype(int)
-            for i in range(len(n)):
-                upto = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))
-                for j in i + np.flatnonzero(may_link(n[i], p[i], n[i:upto], p[i:upto], percent)):
-                    left, right = np.arange(block[i], block[i + 1]), np.arange(block[j], block[j + 1])
-                    u, v = np.repeat(left, len(right)), np.tile(right, len(left))
-                    ok = lab[u] != lab[v]
-                    if i == j:
-                        ok &= u < v
-                    u, v = u[ok], v[ok]
-                    ok = signs_allow(own[u], own[v], np.full(len(u), n[i] + n[j]), percent)
-                    xs.append(part["s"][u[ok]])
-                    ys.append(part["s"][v[ok]])
-        return _pairs(np.concatenate(xs), np.concatenate(ys)) if xs else _pairs(np.zeros(0, np.int64), np.zeros(0, np.int64))
-
-    return labelled.groupBy("bucket").applyInPandas(run, "s1 long, s2 long").distinct()
+        sets, none = _sets(df[df["side"] == 0], width, clash), np.zeros(0, np.int64)
+        x, z = sets[key[0]], sets[key[1]]
+        groups = []
+        for side, leader in ((1, key[0]), (2, key[1])):
+            f = df[df["side"] == side]
+            groups.append([(leader, none, none), *((s, np.frombuffer(a, np.int64), np.frombuffer(b, np.int64)) for s, a, b in zip(f["s"], f["plus"], f["minus"], strict=True))])
+        both = len(np.intersect1d(x, z, assume_unique=True))
+        away = len(x) + len(z) - 2 * both
+        size2 = np.array([len(z) + len(a) - len(b) for _, a, b in groups[1]])
+        apart2 = np.array([len(a) + len(b) for _, a, b in groups[1]])
+        found = []
+        for s, more, less in groups[0]:
+            n, apart = len(x) + len(more) - len(less), len(more) + len(less)
+            far = allowed_apart(n + size2, percent)
+            sure = np.flatnonzero(away + apart + apart2 <= far)
+            if len(sure):  # by the triangle inequality alone
+                found.append((s, groups[1][sure[0]][0]))
+                break
+            maybe = np.flatnonzero(away - apart - apart2 <= far)
+            if not len(maybe):
+                continue
+            with_z = derived_overlaps(both, z, x, more, less)
+            y = np.union1d(np.setdiff1d(x, less, assume_unique=True), more)
+            for i in maybe:
+                w, plus, minus = groups[1][i]
+                if (100 + percent) * derived_overlaps(with_z, y, z, plus, minus) >= percent * (n + size2[i]):
+                    found.append((s, w))
+                    break
+            if found:
+                break
+        give_back()
+        return pd.DataFrame(found, columns=["s1", "s2"]).astype(np.int64)
+
+    return rows.groupBy("s1", "s2", "u1", "u2").applyInPandas(run, "s1 long, s2 long")
+
+
+def leader_links(docs: DataFrame, width: int, pairs: DataFrame, followers: DataFrame, owned: DataFrame, clash: frozenset[int], percent: int) -> DataFrame:
+    """Links for pairs(s1, s2) of leaders, at least one for each two whose sets (they and their followers) have any."""
+    known = materialize(overlaps(docs, width, pairs, owned, clash).drop("plus", "minus"), "overlaps")
+    direct = (100 + percent) * F.col("both") >= percent * (F.col("n1") + F.col("n2"))
+    reach = materialize(followers.groupBy("leader").agg(F.count("*").alias("k"), F.max("apart").alias("r"), F.max("n").alias("n_max")), "reach")
+    rest = known.where(~direct)
+    for i in (1, 2):
+        rest = rest.join(reach.select(F.col("leader").alias(f"s{i}"), F.col("k").alias(f"k{i}"), F.col("r").alias(f"r{i}"), F.greatest(F.col("n_max"), F.lit(0)).alias(f"m{i}")), f"s{i}", "left")
+    rest = rest.na.fill(0, ["k1", "k2", "r1", "r2", "m1", "m2"]).where("k1 + k2 > 0")
+    away = F.col("n1") + F.col("n2") - 2 * F.col("both")
+    largest = F.greatest("n1", "m1") + F.greatest("n2", "m2")
+    open_pairs = rest.where((100 + percent) * (away - F.col("r1") - F.col("r2")) <= (100 - percent) * largest).select("s1", "s2", "k1", "k2")
+    return known.where(direct).select("s1", "s2").unionByName(follower_links(docs, width, materialize(open_pairs, "open"), followers, owned, clash, percent))
 
 
 # --- the operator ------------------------------------------------------------------------------------------------------
 
 
-def fetch_sets(docs: DataFrame, width: int, needed: DataFrame) -> DataFrame:
-    """(s, tokens) of the needed(s, doc_id) sets. Only documents that a bit filter lets through are read into Python, and no text is shuffled."""
-    log2 = filter_log2(needed.count())
-    rows = maybe_in(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), F.col("doc_id"), bit_filter(needed, "doc_id", log2), log2, "bf_flag").where("bf_flag").select("doc_id", "text")
+def distinct_sets(described: DataFrame) -> tuple[DataFrame, DataFrame, frozenset[int]]:
+    """rows(doc_id, n, s), owned(s, low, n, sign, copies) and the 64-bit ids that different sets share: none, or a handful even among 10**11 sets."""
+    rows = described.where("kind = 0")
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for _, texts in _batches(frames):
-            sets = {_set_id(x): x for x in shingle_sets(texts, width)}
-            yield pd.DataFrame({"s": list(sets), "tokens": list(sets.values())})
+    def owners(rows: DataFrame) -> DataFrame:
+        some = rows.where("n > 0").groupBy("s").agg(F.min("wide").alias("wide"), F.max("wide").alias("other"), F.min("doc_id").alias("low"), F.max("n").alias("n"), F.min("sign").alias("sign"), F.count("*").alias("copies"))
+        return materialize(some, "owned")
 
-    return materialize(rows.mapInPandas(run, "s long, tokens array<long>"), "sets")
+    owned = owners(rows)
+    clash = frozenset(r.s for r in owned.where("wide <> other").select("s").limit(10_001).collect())
+    if len(clash) > 10_000:
+        raise RuntimeError("too many set ids clash")
+    if clash:
+        second = F.conv(F.hex(F.substring("wide", 9, 8)), 16, -10).cast("long")
+        rows = rows.withColumn("s", F.when(F.col("s").isin(*clash), second).otherwise(F.col("s")))
+        owned = owners(rows)
+        if not owned.where("wide <> other").isEmpty():
+            raise RuntimeError("set ids clash in both halves")
+    return rows.select("doc_id", "n", "s"), owned.drop("wide", "other"), clash
 
 
-def verify(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, percent: int) -> DataFrame:
-    """The pairs that are similar, by their whole sets; sets of other documents are not touched. owned: s, low."""
-    ids = pairs.select(F.col("s1").alias("s")).union(pairs.select("s2")).distinct()
-    sets = fetch_sets(docs, width, materialize(ids.join(owned, "s").select("s", F.col("low").alias("doc_id")), "needed"))
-    a, b = sets.select(F.col("s").alias("s1"), F.col("tokens").alias("t1")), sets.select(F.col("s").alias("s2"), F.col("tokens").alias("t2"))
-    both = F.size(F.array_intersect("t1", "t2"))
-    return pairs.join(a, "s1").join(b, "s2").where((100 + percent) * both >= percent * (F.size("t1") + F.size("t2"))).select("s1", "s2").distinct()
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_heavy: int = 200_000, bucket_rows: int = 400_000, tile_rows: int = 200_000, star_rounds: int = 2) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+    with scratch_scope(docs.sparkSession):
+        return materialize(_components(docs, width, percent, max_heavy, bucket_rows, tile_rows, star_rounds), "components", outlive=True)
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, max_heavy: int = 200_000, bucket_rows: int = 400_000, tile_rows: int = 200_000, star_rounds: int = 3) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id that links reach)."""
+def _components(docs: DataFrame, width: int, percent: int, max_heavy: int, bucket_rows: int, tile_rows: int, star_rounds: int) -> DataFrame:
     spark = docs.sparkSession
     described = materialize(describe(docs, width), "shingles")
-    rows = described.where("kind = 0").select("doc_id", "n", "s", "sign")
+    rows, owned, clash = distinct_sets(described)
     heavy = heavy_tokens(described, max_heavy)
-    total = rows.agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1)).head()[0] or 0
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(total) // bucket_rows))
-    lists = materialize(shared_lists(index_blobs(docs, width, percent, heavy, buckets, tile_rows), percent), "lists")
-    owned = materialize(rows.where("doc_id is not null and n > 0").groupBy("s").agg(F.min("doc_id").alias("low"), F.first("sign").alias("sign")), "owned")
-    tried = links = None
-    labelled = lists.withColumn("label", F.col("s"))
-    for turn in range(star_rounds + 1):
-        pairs = star_pairs(labelled, percent, turn) if turn < star_rounds else cross_pairs(labelled.join(owned.select("s", "sign"), "s"), percent)
+    size = owned.where("low is not null").agg(F.sum(F.floor(F.col("n") * (100 - percent) / 100) + 1), F.sum("n")).head()
+    tile_rows = max(tile_rows, -(-5 * int(size[1] or 0) // (4 * max_heavy)))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size[0] or 0) // bucket_rows))
+    lists = materialize(shared_lists(index_blobs(docs, width, percent, heavy, clash, buckets, tile_rows), percent), "lists")
+    similar = (100 + percent) * F.col("both") >= percent * (F.col("n1") + F.col("n2"))
+    sets, known, tried, near, labels = None, None, None, None, None
+    for turn in range(star_rounds):
+        pairs = star_pairs(lists, known, percent, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["s1", "s2"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        found = materialize(verify(docs, width, pairs, owned, percent), "links")
-        if found.isEmpty():
-            if turn == 0:
-                links = found
-            continue
-        links = found if links is None else links.unionByName(found)
-        labels = materialize(component_labels(links.select(F.col("s1").alias("a"), F.col("s2").alias("b"))), "labels")
-        labelled = lists.join(labels.select(F.col("node").alias("s"), "label"), "s", "left").withColumn("label", F.coalesce("label", "s"))
-    if links.isEmpty():
-        classes = owned.select("s", F.col("low").alias("component_id"))
+        likely = materialize(near_by_sign(pairs, owned, percent), "likely")
+        found = materialize(overlaps(docs, width, likely, owned, clash).where(similar), "near")
+        near = found if near is None else near.unionByName(found)
+        labels = component_labels(near.select(F.col("s1").alias("a"), F.col("s2").alias("b")))
+        sets = materialize(sets_of(lists), "sets") if sets is None else sets
+        known = materialize(sets.join(labels.select(F.col("node").alias("s"), "label"), "s").select("bucket", "s", "label"), "known")
+    nothing = "s long, leader long, n long, apart long, plus binary, minus binary"
+    followers = leaders_of(near) if near is not None else spark.createDataFrame([], nothing)
+    if known is None:
+        known = spark.createDataFrame([], "bucket long, s long, label long")
+    active = materialize(active_sets(lists, known, percent), "active")
+    active = active.join(owned.select("s", "sign"), "s").join(followers.select("s", "leader"), "s", "left")
+    if labels is not None:
+        active = active.join(labels.select(F.col("node").alias("s"), "label"), "s", "left")
     else:
-        joined = owned.join(labels.select(F.col("node").alias("s"), "label"), "s", "left").withColumn("label", F.coalesce("label", "s"))
-        joined = materialize(joined, "labelled-sets")
-        classes = joined.join(joined.groupBy("label").agg(F.min("low").alias("component_id")), "label").select("s", "component_id")
-    classes = materialize(classes, "classes")
-    out = rows.join(classes, "s", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.when(F.col("doc_id").isNotNull(), F.col("component_id"))).otherwise(F.col("doc_id")).alias("component_id"))
+        active = active.withColumn("label", F.lit(None).cast("long"))
+    active = active.select("bucket", "s", F.coalesce("label", "s").alias("label"), F.coalesce("leader", "s").alias("leader"), "sign")
+    pairs = materialize(cross_pairs(lists, active, percent), "pairs")
+    links = leader_links(docs, width, pairs, followers, owned, clash, percent)
+    if near is not None:
+        links = links.unionByName(near.select("s1", "s2"))
+    labels = component_labels(materialize(links, "links").select(F.col("s1").alias("a"), F.col("s2").alias("b")))
+    joined = materialize(owned.where("low is not null").select("s", "low", "copies").join(labels.select(F.col("node").alias("s"), "label"), "s", "left").withColumn("label", F.coalesce("label", "s")), "labelled-sets")
+    lowest = joined.groupBy("label").agg(F.min("low").alias("component_id"))
+    classes = materialize(joined.join(lowest, "label").select("s", "component_id", "copies"), "classes")
+    total = rows.count()
+    own = rows.where("n = 0 or doc_id is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    out = join_counted(rows.where("n > 0 and doc_id is not null"), classes, "s", total)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(own)
 
 
 def keep_one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents that are the smallest id of their component, with all their columns."""
-    dropped = materialize(jaccard_components(docs, width, percent).where("component_id <> doc_id").select("doc_id"), "near-dropped")
+    with scratch_scope(docs.sparkSession):
+        dropped = materialize(jaccard_components(docs, width, percent).where("component_id <> doc_id").select("doc_id"), "near-dropped", outlive=True)
     return prune(docs, dropped, dropped.count())
 
 
