@@ -422,7 +422,11 @@ def active_sets(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     def run(key: tuple, df: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         a = unpack_postings(df["blob"].tolist())
         label, found, cut = _looked_up(a["s"], known, "label"), [], _ends(a)
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+        count = np.diff(cut)
+        pair = cut[:-1][count == 2]  # the tests of these were made when the lists were
+        pair = pair[label[pair] != label[pair + 1]]
+        found += [a["s"][pair], a["s"][pair + 1]]
+        for lo, hi in zip(cut[:-1][count > 2], cut[1:][count > 2], strict=True):
             lab = label[lo:hi]
             if (lab == lab[0]).all():
                 continue
@@ -434,7 +438,7 @@ def active_sets(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
                 use[differ] = True
                 use[i] |= len(differ) > 0
             found.append(a["s"][lo:hi][np.repeat(use, np.diff(first))])
-        return pd.DataFrame({"bucket": key[0], "s": np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)})
+        return pd.DataFrame({"bucket": key[0], "s": np.unique(np.concatenate(found))})
 
     return lists.groupBy("bucket").cogroup(labels.groupBy("bucket")).applyInPandas(run, "bucket long, s long")
 
@@ -455,7 +459,13 @@ def cross_pairs(lists: DataFrame, active: DataFrame, percent: int) -> DataFrame:
         at = np.minimum(np.searchsorted(keys, a["s"]), len(keys) - 1)
         a, at = a[keys[at] == a["s"]], at[keys[at] == a["s"]]
         cut, found = _ends(a), []
-        for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+        count = np.diff(cut)
+        x = cut[:-1][count == 2]
+        x = x[labels[at[x]] != labels[at[x + 1]]]
+        ok = least_apart([signs[i] for i in at[x]], [signs[i] for i in at[x + 1]]) <= allowed_apart(a["n"][x].astype(int) + a["n"][x + 1], percent)
+        b, c = leaders[at[x[ok]]], leaders[at[x[ok] + 1]]
+        found.append(np.stack([np.minimum(b, c), np.maximum(b, c)], axis=1))
+        for lo, hi in zip(cut[:-1][count > 2], cut[1:][count > 2], strict=True):
             own = at[lo:hi]
             if (labels[own] == labels[own[0]]).all():
                 continue
@@ -481,8 +491,6 @@ def cross_pairs(lists: DataFrame, active: DataFrame, percent: int) -> DataFrame:
                         if len(u):
                             b, c = leaders[rows[i][k + u]], leaders[rows[j][v]]
                             found.append(np.unique(np.stack([np.minimum(b, c), np.maximum(b, c)], axis=1), axis=0))
-        if not found:
-            return none
         both = np.unique(np.concatenate(found), axis=0)
         both = both[both[:, 0] != both[:, 1]]
         return _pairs(both[:, 0], both[:, 1])
@@ -517,39 +525,42 @@ def fetch(docs: DataFrame, wanted: DataFrame, owned: DataFrame) -> DataFrame:
 
 def _sets(df: pd.DataFrame, width: int, clash: frozenset[int]) -> dict[int, np.ndarray]:
     """The sets of df(s, text); other documents with the same doc_id are passed over."""
-    out = {}
-    for x in shingle_sets(df["text"].tolist(), width):
-        out[_short(_wide(x), clash)] = x
-    wanted = set(df["s"].tolist())
-    return {s: x for s, x in out.items() if s in wanted}
+    df, out = df.drop_duplicates(["s", "text"]), {}
+    for _, texts in _batches(iter([df.rename(columns={"s": "doc_id"})])):
+        for x in shingle_sets(texts, width):
+            out[_short(_wide(x), clash)] = x
+    return out
 
 
 def overlaps(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, clash: frozenset[int], long: int = 100_000) -> DataFrame:
     """pairs(s1, s2) with their overlap (both), sizes n1, n2 and, of highly similar ones, the tokens that s2 has more (plus) and less (minus) than s1.
 
-    A unit is one s1 with about 256 of its partners, or with one very long partner.
+    A unit is one s1 with about 256 of its partners; a group holds units of about 500,000 tokens, or one very long pair.
     """
     pairs = pairs.join(owned.select(F.col("s").alias("s2"), F.col("n").alias("m")), "s2")
     most = pairs.groupBy("s1").count().agg(F.max("count")).head()[0] or 0
     unit = F.when(F.col("m") > long, F.xxhash64("s2")).otherwise(F.pmod(F.xxhash64("s2"), F.lit(-(-most // 256) or 1)))
-    pairs = pairs.select("s1", unit.alias("unit"), "s2")
-    wanted = pairs.select("s1", "unit", F.col("s2").alias("s")).unionByName(pairs.select("s1", "unit", F.col("s1").alias("s")).distinct())
-
-    def run(key: tuple, df: pd.DataFrame) -> pd.DataFrame:
-        sets = _sets(df, width, clash)
-        pivot, rows = sets[key[0]], []
-        for s, x in sets.items():
-            if s == key[0]:
+    pairs = pairs.select("s1", unit.alias("unit"), "s2", "m")
+    groups = max(1, -(-int(pairs.agg(F.sum("m")).head()[0] or 0) // 500_000))
+    pairs = pairs.select(F.when(F.col("m") > long, F.xxhash64("s1", "s2")).otherwise(F.pmod(F.xxhash64("s1", "unit"), F.lit(groups))).alias("g"), "s1", "s2")
+    wanted = pairs.select("g", "s1", F.col("s2").alias("s")).unionByName(pairs.select("g", "s1", F.col("s1").alias("s")).distinct())
+
+    def run(_: tuple, df: pd.DataFrame) -> pd.DataFrame:
+        sets, rows = _sets(df, width, clash), []
+        for p, q in zip(df["s1"].tolist(), df["s"].tolist(), strict=True):
+            if p == q:
                 continue
-            both = len(np.intersect1d(pivot, x, assume_unique=True))
-            close = 20 * (len(pivot) + len(x) - 2 * both) <= len(pivot) + len(x)
-            more = np.setdiff1d(x, pivot, assume_unique=True).tobytes() if close else None
-            less = np.setdiff1d(pivot, x, assume_unique=True).tobytes() if close else None
-            rows.append((key[0], s, len(pivot), len(x), both, more, less))
+            x, y = sets[p], sets[q]
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            close = 20 * (len(x) + len(y) - 2 * both) <= len(x) + len(y)
+            more = np.setdiff1d(y, x, assume_unique=True).tobytes() if close else None
+            less = np.setdiff1d(x, y, assume_unique=True).tobytes() if close else None
+            rows.append((p, q, len(x), len(y), both, more, less))
+        del sets
         give_back()
         return pd.DataFrame(rows, columns=["s1", "s2", "n1", "n2", "both", "plus", "minus"])
 
-    return fetch(docs, wanted, owned).groupBy("s1", "unit").applyInPandas(run, "s1 long, s2 long, n1 long, n2 long, both long, plus binary, minus binary")
+    return fetch(docs, wanted, owned).groupBy("g").applyInPandas(run, "s1 long, s2 long, n1 long, n2 long, both long, plus binary, minus binary").distinct()
 
 
 def leaders_of(near: DataFrame) -> DataFrame:
@@ -611,7 +622,6 @@ def follower_links(docs: DataFrame, width: int, open_pairs: DataFrame, followers
                     break
             if found:
                 break
-        give_back()
         return pd.DataFrame(found, columns=["s1", "s2"]).astype(np.int64)
 
     return rows.groupBy("s1", "s2", "u1", "u2").applyInPandas(run, "s1 long, s2 long")
