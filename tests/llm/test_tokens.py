@@ -6,13 +6,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tilelake.llm import tokens
 from tilelake.llm.tokens import encoder
 
 FILES = ["byte_bpe_50k.json", "word_bpe_49k.json"]
-PLAIN = {}
-for f in FILES:
-    PLAIN[f] = Tokenizer.from_file(public_tokenizers.path(f))
-    PLAIN[f].encode_special_tokens = True
+PLAIN = {f: Tokenizer.from_file(public_tokenizers.path(f)) for f in FILES}  # as the library gives it
 
 
 def same(f, text):
@@ -30,7 +28,23 @@ def test_random_texts(f, text):
 def test_every_latin_character(f):
     for c in range(0x260):
         same(f, f"a{chr(c)}1{chr(c)} {chr(c)}{chr(c)}B")
-    same(f, "it's <|endoftext|> x<|startoftext|>")
+
+
+@pytest.mark.parametrize("f", FILES)
+def test_special_strings(f):
+    for t in ("hello <|endoftext|> world", "it's <|endoftext|> x<|startoftext|>", "<|endoftext|>", " <|EndOfText|> <|endoftext", "a<|startoftext|><|endoftext|>é"):
+        same(f, t)
+    assert len(np.frombuffer(encoder(f).encode("hello <|endoftext|> world"), "<u4")) < 6
+
+
+@pytest.mark.parametrize("f", FILES)
+def test_bounded_table(f, monkeypatch):
+    monkeypatch.setattr(tokens, "_CACHE_BYTES", 20_000)
+    enc = tokens.FastEncoder(public_tokenizers.path(f))
+    for i in range(60):
+        t = " ".join(f"w{i * j}q" for j in range(200 if i == 30 else 12))
+        assert np.frombuffer(enc.encode(t), "<u4").tolist() == PLAIN[f].encode(t, add_special_tokens=False).ids
+        assert sum(tokens._ENTRY + len(p) + len(x) for p, x in enc.known.items()) <= 40_000
 
 
 @pytest.mark.parametrize("f", FILES)

@@ -23,8 +23,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: Documents in an Arrow batch, where the session has Spark's own default: 10,000 long texts are more than a worker should hold.
+BATCH_DOCS = 1000
+
+
 def ship(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it is not installed."""
+    """Lets Python workers import this package where it is not installed, and keeps batches of documents small."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_DOCS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env, old = spark.sparkContext.environment, spark.sparkContext.environment.get("PYTHONPATH", "")
     if root not in old.split(os.pathsep):

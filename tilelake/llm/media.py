@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, tidy
 
 # Fixed values of the format.
 NONE, LZW, DEFLATE_ADOBE, PACKBITS, DEFLATE = 1, 5, 8, 32773, 32946
@@ -313,6 +313,7 @@ def store_text(text: str | None) -> tuple[int, bytes]:
 def store_texts(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, media: one TIFF per document."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             for i in range(0, len(df), 256):

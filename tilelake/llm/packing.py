@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, materialize, tidy
 from .tokens import encoder
 
 END_ID = 0
@@ -153,6 +153,7 @@ class Placement:
 def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
     """Pieces with the task that cut them and their number among that task's pieces of the same length."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, task, end = encoder(vocabulary), TaskContext.get().partitionId(), struct.pack("<I", END_ID)
         seen = np.zeros(capacity + 1, np.int64)
@@ -180,6 +181,7 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     numbered = pieces.join(counts.select("task", "length", F.coalesce(before, F.lit(0)).alias("before")), ["task", "length"])
     keep = [c for c in pieces.columns if c not in ("task", "number")]
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             n, number = df["length"].to_numpy(), (df["before"] + df["number"]).to_numpy()

@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hash_sample, materialize
+from .common import documents, hash_sample, materialize, tidy
 
 KINDS = ["email", "ip", "card", "phone", "email_words", "phone_loose", "id_labelled"]
 BASE_KINDS = KINDS[:4]
@@ -236,6 +236,7 @@ _SPANS = "array<struct<s:int,k:int,e:int,x:array<float>>>"
 def candidates(docs: DataFrame) -> DataFrame:
     """doc_id, base (start, kind, end) and loose candidates, each with features. Texts do not leave the scan."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             base, loose = [], []
@@ -263,6 +264,7 @@ def fit(found: DataFrame, train_rows: int = 20000) -> PiiModel:
 
 
 def redactions(found: DataFrame, model: PiiModel, threshold: float) -> DataFrame:
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             xs = [c["x"] for loose in df["loose"] for c in loose]

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, hash_sample, materialize, prune
+from .common import documents, hash_sample, materialize, prune, scratch_scope, tidy
 
 HASHED = 2046
 _STUTTER, _AGAIN, DIMS = HASHED, HASHED + 1, HASHED + 2
@@ -108,6 +108,7 @@ def votes_and_features(text: str | None, words: _Words) -> tuple[list[int], list
 def describe(docs: DataFrame) -> DataFrame:
     """doc_id, votes and sparse hashed features of every document, in one pass over the texts."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _Words()
         for df in frames:
@@ -192,6 +193,7 @@ def score(described: DataFrame, model: QualityModel, threshold: float = 0.5) ->
     labels, w, b = model.labels, model.w, model.b
     prior = float(np.log(labels.prior / (1 - labels.prior)))
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             if not len(df):
@@ -215,7 +217,8 @@ def classify(docs: DataFrame, train_docs: int = 4000, threshold: float = 0.5) ->
 
 def drop_rejected(docs: DataFrame) -> DataFrame:
     """The documents that the classifier accepts, with all their columns."""
-    rejected = materialize(classify(docs).where("not accepted").select("doc_id"), "rejected")
+    with scratch_scope(docs.sparkSession):
+        rejected = materialize(classify(docs).where("not accepted").select("doc_id"), "rejected", outlive=True)
     return prune(docs, rejected, rejected.count())
 
 

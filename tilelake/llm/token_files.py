@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize, scratch_path
+from .common import documents, materialize, scratch_path, tidy
 from .tokens import encoder
 
 MAGIC = b"TLTOKEN1"
@@ -154,6 +154,7 @@ def _store(uri: str):
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, block_ids: int = 65536, bits: bool = False) -> DataFrame:
     """part, path, n_docs, n_ids of each file."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc, part, writer = encoder(vocabulary), TaskContext.get().partitionId(), None
         fs, root = _store(folder)
@@ -196,6 +197,7 @@ class _Raw(io.RawIOBase):
 def read_token_files(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document in the files."""
 
+    @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             for path, base in zip(df["path"], df["base"], strict=True):

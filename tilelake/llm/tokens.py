@@ -15,7 +15,8 @@ import unicodedata
 import numpy as np
 
 _LATIN = range(0x180)  # lower case of these stays within, but for one that is left out
-_CACHE = 1_200_000  # pre-tokens, about 250 MB in a worker
+_CACHE_BYTES = 72 << 20  # of known pre-tokens in a worker
+_ENTRY = 220  # bytes of an entry besides its characters and ids
 
 
 def _class(prefix: str) -> str:
@@ -36,7 +37,6 @@ class FastEncoder:
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
-        self.full.encode_special_tokens = True
         with open(path) as f:
             spec = json.load(f)
         self.lower = spec["normalizer"] is not None
@@ -46,8 +46,9 @@ class FastEncoder:
         else:
             cut = rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{numbers}]+| ?[^\s{letters}{numbers}]+|\s+(?!\S)|\s+"
         self.cut = re.compile(cut)
-        self.other = re.compile(r"[^\x00-\x1b\x20-\x84\x86-įı-ſ]")
-        self.model, self.table, self.known = self.full.model, _byte_table(), {}
+        special = "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
+        self.other = re.compile(r"[^\x00-\x1b\x20-\x84\x86-įı-ſ]" + (f"|{special}" if special else ""))
+        self.model, self.table, self.known, self.held = self.full.model, _byte_table(), {}, 0
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.table)
@@ -63,10 +64,15 @@ class FastEncoder:
         try:
             return b"".join(map(known.__getitem__, pieces))
         except KeyError:
-            if len(known) > _CACHE:
+            if self.held > _CACHE_BYTES:
                 known.clear()
-            for p in {p for p in pieces if p not in known}:
-                known[p] = self._piece(p)
+                self.held = 0
+            new = {p: self._piece(p) for p in set(pieces) if p not in known}
+            self.held += sum(_ENTRY + len(p) + len(x) for p, x in new.items())
+            if self.held > 2 * _CACHE_BYTES:  # one text alone has more
+                self.held = _CACHE_BYTES + 1
+                return b"".join([new[p] if p in new else known[p] for p in pieces])
+            known.update(new)
             return b"".join(map(known.__getitem__, pieces))
 
 
