@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a DataFrame; run() writes
 each result as Parquet in the shared folder and reads it again as the next stage's documents. All stages but the last
 return the columns of documents.
+
+Defined results, in every stage: null text is empty; a document without words is accepted by the quality stage, has one
+class of equal texts with all others without words, has no shingles and links with nothing, and becomes its end id alone
+in packing; rows that repeat a doc_id share the decision on that doc_id, and of rows that repeat whole all stay together;
+rows without doc_id are never dropped as copies; ties go to the smallest doc_id; an empty table gives an empty result; other
+columns, whatever their names, are carried through all stages but the last, which returns pieces.
 """
 
 from __future__ import annotations
@@ -11,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilelake.llm import exact_dedup, jaccard, mixing, packing, quality
-from tilelake.llm.common import documents, materialize, ship
+from tilelake.llm.common import documents, materialize, scratch_scope, ship
 
 #: Share of the tokens that mixing draws.
 MIX_BUDGET = 0.8
@@ -54,7 +60,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = documents(spark, sf_dir)
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
+        with scratch_scope(spark):  # a stage's own tables go when its result is written
+            docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}", outlive=True)
     return docs
 
 
