@@ -74,6 +74,12 @@ def write_table(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of finished jobs now, not when the driver next happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 _SCOPES: list[list[str]] = []
 
 
@@ -86,6 +92,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     finally:
         for path in _SCOPES.pop():
             delete_path(spark, path)
+        release(spark)
 
 
 def materialize(df: DataFrame, name: str, outlive: bool = False) -> DataFrame:
@@ -207,32 +214,29 @@ def component_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, label) for every node of edges(a, b): label is the smallest node that edges reach.
 
     Alternates the large-star and small-star steps, which keep the components and shrink every one to a star around its
-    smallest node. Each round is written to the shared folder; only counts reach the driver.
+    smallest node, until all are stars. Each round is written to the shared folder; only counts reach the driver. Nodes
+    with very many edges are met by broadcast, so none fills a task.
     """
     spark = edges.sparkSession
     path = scratch_path(spark, "edges")
     now = write_table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), path)
-    nodes = now.select(F.col("a").alias("node")).union(now.select("b")).distinct()
-    nodes = materialize(nodes, "nodes")
-    mark = None
     for _ in range(max_rounds):
+        tops = now.groupBy("a").agg(F.count("*").alias("k"))
+        if tops.where("k > 1").isEmpty() and now.join(tops.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+            break
         both = now.union(now.select("b", "a"))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("copies"))
         large = join_counted(both, low, "a", 2 * now.count()).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").union(least.select("a", F.col("m").alias("b"))).distinct()
         next_path = scratch_path(spark, "edges")
-        after = write_table(small, next_path)
-        sign = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head()
+        now = write_table(small, next_path)
         delete_path(spark, path)
-        path, now = next_path, after
-        if tuple(sign) == mark:
-            break
-        mark = tuple(sign)
+        path = next_path
+        release(spark)
     else:
         raise RuntimeError("component labels did not settle")
-    labels = nodes.join(now.select(F.col("a").alias("node"), "b"), "node", "left").groupBy("node").agg(F.least(F.min("b"), F.col("node")).alias("label"))
-    labels = materialize(labels, "labels")
+    labels = materialize(now.select(F.col("a").alias("node"), F.col("b").alias("label")).union(now.select(F.col("b").alias("node"), F.col("b").alias("label")).distinct()), "labels")
     delete_path(spark, path)
     return labels
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-from .common import bit_filter, component_labels, documents, filter_log2, give_back, join_counted, materialize, maybe_in, prune, scratch_scope, tidy
+from .common import bit_filter, component_labels, documents, filter_log2, give_back, join_counted, materialize, maybe_in, prune, release, scratch_scope, tidy
 
 U = np.uint64
 _SPACE = np.zeros(256, bool)
@@ -501,23 +501,25 @@ def cross_pairs(lists: DataFrame, active: DataFrame, percent: int) -> DataFrame:
 # --- verification --------------------------------------------------------------------------------------------------------
 
 
-def near_by_sign(pairs: DataFrame, owned: DataFrame, percent: int) -> DataFrame:
-    """pairs(s1, s2) whose signs do not rule them out."""
+def described_pairs(pairs: DataFrame, owned: DataFrame, percent: int | None) -> DataFrame:
+    """pairs(s1, s2) with both sizes (n1, n2) and documents (d1, d2), without those that the signs rule out at percent."""
 
     def near(x: pd.Series, y: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
         return pd.Series(least_apart(x.tolist(), y.tolist()) <= allowed_apart((n1 + n2).to_numpy(), percent))
 
     near.__annotations__ = {"x": pd.Series, "y": pd.Series, "n1": pd.Series, "n2": pd.Series, "return": pd.Series}
-    a, b = (owned.select(F.col("s").alias(f"s{i}"), F.col("n").alias(f"n{i}"), F.col("sign").alias(f"g{i}")) for i in (1, 2))
-    ok = F.pandas_udf(near, BooleanType())("g1", "g2", "n1", "n2")
-    return pairs.join(a, "s1").join(b, "s2").where(ok).select("s1", "s2")
+    a, b = (owned.select(F.col("s").alias(f"s{i}"), F.col("n").alias(f"n{i}"), F.col("low").alias(f"d{i}"), F.col("sign").alias(f"g{i}")) for i in (1, 2))
+    out = pairs.join(a, "s1").join(b, "s2")
+    if percent is not None:
+        out = out.where(F.pandas_udf(near, BooleanType())("g1", "g2", "n1", "n2"))
+    return out.select("s1", "s2", "n1", "n2", "d1", "d2")
 
 
-def fetch(docs: DataFrame, wanted: DataFrame, owned: DataFrame) -> DataFrame:
-    """wanted(s, ...) with the text of each set's document. Only texts that a bit filter lets through are shuffled."""
-    wanted = materialize(wanted.join(owned.select("s", "low"), "s"), "wanted")
+def fetch(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """wanted(s, low, ...) with the text of document low. Only texts that a bit filter lets through are shuffled."""
+    wanted = materialize(wanted, "wanted")
     ids = wanted.select(F.col("low").alias("doc_id")).distinct()
-    log2 = filter_log2(ids.count())
+    log2 = filter_log2(wanted.count())
     rows = docs.select(F.col("doc_id").cast("long").alias("low"), "text")
     rows = maybe_in(rows, F.col("low"), bit_filter(ids, "doc_id", log2), log2, "bf_flag").where("bf_flag").drop("bf_flag")
     return wanted.join(rows, "low").drop("low")
@@ -532,22 +534,20 @@ def _sets(df: pd.DataFrame, width: int, clash: frozenset[int]) -> dict[int, np.n
     return out
 
 
-def overlaps(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, clash: frozenset[int], long: int = 100_000) -> DataFrame:
-    """pairs(s1, s2) with their overlap (both), sizes n1, n2 and, of highly similar ones, the tokens that s2 has more (plus) and less (minus) than s1.
+def overlaps(docs: DataFrame, width: int, pairs: DataFrame, clash: frozenset[int], long: int = 100_000) -> DataFrame:
+    """described_pairs with their overlap (both) and, of highly similar ones, the tokens that s2 has more (plus) and less (minus) than s1.
 
     A unit is one s1 with about 256 of its partners; a group holds units of about 500,000 tokens, or one very long pair.
     """
-    pairs = pairs.join(owned.select(F.col("s").alias("s2"), F.col("n").alias("m")), "s2")
-    most = pairs.groupBy("s1").count().agg(F.max("count")).head()[0] or 0
-    unit = F.when(F.col("m") > long, F.xxhash64("s2")).otherwise(F.pmod(F.xxhash64("s2"), F.lit(-(-most // 256) or 1)))
-    pairs = pairs.select("s1", unit.alias("unit"), "s2", "m")
-    groups = max(1, -(-int(pairs.agg(F.sum("m")).head()[0] or 0) // 500_000))
-    pairs = pairs.select(F.when(F.col("m") > long, F.xxhash64("s1", "s2")).otherwise(F.pmod(F.xxhash64("s1", "unit"), F.lit(groups))).alias("g"), "s1", "s2")
-    wanted = pairs.select("g", "s1", F.col("s2").alias("s")).unionByName(pairs.select("g", "s1", F.col("s1").alias("s")).distinct())
+    most = pairs.groupBy("s1").agg(F.count("*").alias("k"), F.sum("n2").alias("n")).agg(F.max("k"), F.sum("n")).head()
+    unit = F.xxhash64("s1", F.pmod(F.xxhash64("s2"), F.lit(-(-(most[0] or 1) // 256))))
+    groups = max(1, -(-int(most[1] or 0) // 500_000))
+    pairs = pairs.withColumn("g", F.when(F.col("n2") > long, F.xxhash64("s1", "s2")).otherwise(F.pmod(unit, F.lit(groups))))
+    wanted = pairs.select("g", "s1", F.col("s2").alias("s"), F.col("d2").alias("low")).unionByName(pairs.select("g", "s1", F.col("s1").alias("s"), F.col("d1").alias("low")).distinct())
 
     def run(_: tuple, df: pd.DataFrame) -> pd.DataFrame:
         sets, rows = _sets(df, width, clash), []
-        for p, q in zip(df["s1"].tolist(), df["s"].tolist(), strict=True):
+        for p, q in df[["s1", "s"]].drop_duplicates().itertuples(index=False):
             if p == q:
                 continue
             x, y = sets[p], sets[q]
@@ -560,7 +560,7 @@ def overlaps(docs: DataFrame, width: int, pairs: DataFrame, owned: DataFrame, cl
         give_back()
         return pd.DataFrame(rows, columns=["s1", "s2", "n1", "n2", "both", "plus", "minus"])
 
-    return fetch(docs, wanted, owned).groupBy("g").applyInPandas(run, "s1 long, s2 long, n1 long, n2 long, both long, plus binary, minus binary").distinct()
+    return fetch(docs, wanted).groupBy("g").applyInPandas(run, "s1 long, s2 long, n1 long, n2 long, both long, plus binary, minus binary")
 
 
 def leaders_of(near: DataFrame) -> DataFrame:
@@ -584,9 +584,9 @@ def follower_links(docs: DataFrame, width: int, open_pairs: DataFrame, followers
     k = lambda c: F.floor(F.col(c) / part).cast("int")
     units = open_pairs.withColumn("u1", F.explode(F.sequence(F.lit(0), k("k1")))).withColumn("u2", F.explode(F.sequence(F.lit(0), k("k2"))))
     units = materialize(units.select("s1", "s2", "u1", "u2", "k1", "k2"), "units")
-    texts = units.select("s1", "s2", "u1", "u2", F.col("s1").alias("s")).unionByName(units.select("s1", "s2", "u1", "u2", F.col("s2").alias("s")))
+    texts = units.select("s1", "s2", "u1", "u2", F.col("s1").alias("s")).unionByName(units.select("s1", "s2", "u1", "u2", F.col("s2").alias("s"))).join(owned.select("s", "low"), "s")
     empty = F.lit(None).cast("binary")
-    rows = fetch(docs, texts, owned).select("s1", "s2", "u1", "u2", F.lit(0).alias("side"), "s", "text", empty.alias("plus"), empty.alias("minus"))
+    rows = fetch(docs, texts).select("s1", "s2", "u1", "u2", F.lit(0).alias("side"), "s", "text", empty.alias("plus"), empty.alias("minus"))
     for side, k_, u in (("s1", "k1", "u1"), ("s2", "k2", "u2")):
         own = units.join(followers.select(F.col("leader").alias(side), "s", "plus", "minus"), side).where(F.pmod(F.xxhash64("s"), k(k_) + 1) == F.col(u))
         rows = rows.unionByName(own.select("s1", "s2", "u1", "u2", F.lit(int(side[1])).alias("side"), "s", F.lit(None).cast("string").alias("text"), "plus", "minus"))
@@ -629,7 +629,7 @@ def follower_links(docs: DataFrame, width: int, open_pairs: DataFrame, followers
 
 def leader_links(docs: DataFrame, width: int, pairs: DataFrame, followers: DataFrame, owned: DataFrame, clash: frozenset[int], percent: int) -> DataFrame:
     """Links for pairs(s1, s2) of leaders, at least one for each two whose sets (they and their followers) have any."""
-    known = materialize(overlaps(docs, width, pairs, owned, clash).drop("plus", "minus"), "overlaps")
+    known = materialize(overlaps(docs, width, materialize(described_pairs(pairs, owned, None), "likely"), clash).drop("plus", "minus"), "overlaps")
     direct = (100 + percent) * F.col("both") >= percent * (F.col("n1") + F.col("n2"))
     reach = materialize(followers.groupBy("leader").agg(F.count("*").alias("k"), F.max("apart").alias("r"), F.max("n").alias("n_max")), "reach")
     rest = known.where(~direct)
@@ -682,31 +682,30 @@ def _components(docs: DataFrame, width: int, percent: int, max_heavy: int, bucke
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-int(size[0] or 0) // bucket_rows))
     lists = materialize(shared_lists(index_blobs(docs, width, percent, heavy, clash, buckets, tile_rows), percent), "lists")
     similar = (100 + percent) * F.col("both") >= percent * (F.col("n1") + F.col("n2"))
-    sets, known, tried, near, labels = None, None, None, None, None
+    known, tried, near = spark.createDataFrame([], "bucket long, s long, label long"), None, None
+    nothing = "s long, leader long, n long, apart long, plus binary, minus binary"
+    followers, labels = spark.createDataFrame([], nothing), spark.createDataFrame([], "node long, label long")
+    if star_rounds:
+        sets = materialize(sets_of(lists), "sets")
     for turn in range(star_rounds):
-        pairs = star_pairs(lists, known, percent, turn)
+        pairs = star_pairs(lists, known if turn else None, percent, turn)
         if tried is not None:
             pairs = pairs.join(tried, ["s1", "s2"], "left_anti")
         pairs = materialize(pairs, "pairs")
         tried = pairs if tried is None else tried.unionByName(pairs)
-        likely = materialize(near_by_sign(pairs, owned, percent), "likely")
-        found = materialize(overlaps(docs, width, likely, owned, clash).where(similar), "near")
+        found = materialize(overlaps(docs, width, materialize(described_pairs(pairs, owned, percent), "likely"), clash).where(similar), "near")
         near = found if near is None else near.unionByName(found)
-        labels = component_labels(near.select(F.col("s1").alias("a"), F.col("s2").alias("b")))
-        sets = materialize(sets_of(lists), "sets") if sets is None else sets
-        known = materialize(sets.join(labels.select(F.col("node").alias("s"), "label"), "s").select("bucket", "s", "label"), "known")
-    nothing = "s long, leader long, n long, apart long, plus binary, minus binary"
-    followers = leaders_of(near) if near is not None else spark.createDataFrame([], nothing)
-    if known is None:
-        known = spark.createDataFrame([], "bucket long, s long, label long")
+        if turn + 1 < star_rounds:  # sets with the same pivot are connected: enough for the next round
+            labels = near.groupBy(F.col("s2").alias("node")).agg(F.min("s1").alias("label"))
+        else:
+            labels, followers = component_labels(near.select(F.col("s1").alias("a"), F.col("s2").alias("b"))), leaders_of(near)
+        known = materialize(sets.join(labels.withColumnRenamed("node", "s"), "s").select("bucket", "s", "label"), "known")
+        release(spark)
     active = materialize(active_sets(lists, known, percent), "active")
     active = active.join(owned.select("s", "sign"), "s").join(followers.select("s", "leader"), "s", "left")
-    if labels is not None:
-        active = active.join(labels.select(F.col("node").alias("s"), "label"), "s", "left")
-    else:
-        active = active.withColumn("label", F.lit(None).cast("long"))
-    active = active.select("bucket", "s", F.coalesce("label", "s").alias("label"), F.coalesce("leader", "s").alias("leader"), "sign")
+    active = active.join(labels.withColumnRenamed("node", "s"), "s", "left").select("bucket", "s", F.coalesce("label", "s").alias("label"), F.coalesce("leader", "s").alias("leader"), "sign")
     pairs = materialize(cross_pairs(lists, active, percent), "pairs")
+    release(spark)
     links = leader_links(docs, width, pairs, followers, owned, clash, percent)
     if near is not None:
         links = links.unionByName(near.select("s1", "s2"))
