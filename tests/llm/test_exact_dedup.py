@@ -1,9 +1,13 @@
 import hashlib
 import re
+from functools import reduce
 
 import pytest
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tilelake.llm.exact_dedup import drop_exact_copies, exact_dedup
+from tilelake.llm.common import maybe_in
+from tilelake.llm.exact_dedup import DigestIndex, drop_exact_copies, exact_dedup
 
 
 def brute(rows):
@@ -39,3 +43,22 @@ def test_stage_keeps_columns(spark, odd_docs):
     out = drop_exact_copies(odd_docs)
     assert out.columns == odd_docs.columns
     assert sorted(r.doc_id for r in out.collect()) == [2, 5, 6, 7, 8, 8, 9, 10]
+
+
+def test_filters_leave_only_shared_digests_to_merge(spark):
+    rows = [(i, f"text {i % 700}" if i < 900 else f"single {i}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    index = DigestIndex(spark)
+    for part in range(3):  # three batches, each with runs of its own
+        index.append(docs.where(f"doc_id % 3 = {part}"), 2)
+    shared = index.shared_bits()
+    runs = reduce(DataFrame.unionByName, index.runs)
+    many = maybe_in(runs, F.col("digest"), shared, index.log2, "many").where("many").count()
+    in_two = runs.groupBy("digest").count().where("count > 1").count()
+    assert in_two > 100 and many < 3 * in_two < runs.count() / 2
+    got = sorted((r.keep_id, r.n) for r in index.compact().collect())
+    best = {}
+    for i, t in rows:
+        best.setdefault(t, []).append(i)
+    assert got == sorted((min(v), len(v)) for v in best.values())
+    index.drop()

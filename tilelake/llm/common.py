@@ -179,9 +179,10 @@ def filter_log2(n_keys: int, max_log2: int = 26) -> int:
     return min(max_log2, max(15, (16 * max(1, n_keys)).bit_length()))
 
 
-def bit_filter(keys: DataFrame, key: str, log2: int) -> DataFrame:
+def bit_filter(keys: DataFrame, key: str, log2: int, *by: str) -> DataFrame:
+    """(bf_bucket, bf_bits), one filter for each value of the columns `by`."""
     at = _position(F.col(key), log2) + 1
-    return keys.where(F.col(key).isNotNull()).groupBy(F.bitmap_bucket_number(at).alias("bf_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bf_bits"))
+    return keys.where(F.col(key).isNotNull()).groupBy(*by, F.bitmap_bucket_number(at).alias("bf_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bf_bits"))
 
 
 def maybe_in(df: DataFrame, key: Column, filt: DataFrame, log2: int, flag: str) -> DataFrame:
