@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -46,6 +47,28 @@ def test_copied_values_are_not_added(spark):
     assert got[9].spans == "mixed:2:28" and got[9].n_live == 1
 
 
+def test_ownership_changes_spans(spark):
+    """The same value is a span while one owner has it and none when many do."""
+    value, caps = "aB3dE5gH7jK9mN1pQ3sT5vW7yZ", "9F8E7D6C5B4A39281706F5E4D3C2B1A0"
+    one = [(i, f"k {value} and {caps}", "s1", "en") for i in range(6)]
+    schema = "doc_id long, text string, source string, lang string"
+    for rows, spans in ((one, {"mixed:2:28", "hexcaps:33:65"}), ([(i, t, f"s{i}", lang) for i, t, _, lang in one], set())):
+        got = secret_scan(spark.createDataFrame(rows, schema), F.col("source"), F.col("lang")).collect()
+        assert all(set(filter(None, r.spans.split(","))) == spans for r in got)
+        assert all((r.n_live, r.n_copied) == ((2, 0) if spans else (0, 2)) for r in got)
+
+
+def test_many_matches_in_one_text(spark):
+    text = " ".join(f"{i:016x} password={i:016x}" for i in range(16000))
+    began = time.time()
+    (r,) = secret_scan(spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string"), F.col("source"), F.col("lang")).collect()
+    assert (r.n_assign, r.n_access, r.n_hex) == (16000, 0, 32000) and r.base_sha256 == base(text)[1]
+    assert time.time() - began < 40
+
+
 def test_odd_tables(spark, odd_docs):
-    assert secret_scan(odd_docs, F.col("source"), F.col("lang")).count() == odd_docs.count()
+    got = secret_scan(odd_docs, F.col("source"), F.col("lang")).collect()
+    texts = {r.doc_id: r.text for r in odd_docs.collect()}
+    assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in odd_docs.collect())
+    assert all(((r.n_assign, r.n_access, r.n_hex), r.base_sha256) == base(texts[r.doc_id])[:2] for r in got)
     assert secret_scan(odd_docs.limit(0), F.col("source"), F.col("lang")).count() == 0

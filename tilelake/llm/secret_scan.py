@@ -1,8 +1,8 @@
 """Operator 3, secret scans with corpus-wide ownership frequency, as DataFrame expressions only.
 
 Each document is scanned for the base kinds (assign, access, hex) and for further candidate kinds (prefixed tokens, web
-tokens, mixed-case random strings). Positions come from splitting the text at the matches: a match starts after all
-pieces and matches before it. Candidate values are hashed and counted over the corpus by distinct owner and repository,
+tokens, mixed-case random strings, hexadecimal runs in capitals). Splitting the text at the matches gives the gaps before
+them, and a running sum over a document's gaps and matches gives positions, in linear time. Candidate values are hashed and counted over the corpus by distinct owner and repository,
 in three grouped steps that each pre-aggregate. A value in more than max_owners owners is a copied example; one that is
 confined to few owners and looks random is live. Base spans always stay; further candidates become spans if live.
 
@@ -13,10 +13,10 @@ owner; an empty table gives an empty result; texts of any length are scanned who
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, materialize
+from .common import documents, join_counted, materialize
 
 # The base patterns.
 BASE = {
@@ -30,27 +30,25 @@ EXTRA = {
     "prefixed": (r"\b(gh[pousr]_[A-Za-z0-9]{36,}|sk-[A-Za-z0-9]{24,}|xox[abprs]-[A-Za-z0-9-]{20,})", 0, 20),
     "webtoken": (r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", 0, 36),
     "mixed": (r"\b[A-Za-z0-9]{24,}", 0, 24),
+    "hexcaps": (r"\b[0-9A-F]{32,}\b", 0, 32),
 }
 PLACEHOLDER = r"(?i)example|sample|dummy|changeme|your|placeholder|x{4,}|0{6,}|1234567|abcdef"
 KINDS = [*BASE, *EXTRA]
 
 
-def find_spans(text: Column, kind: str, pattern: str, group: int, least: int) -> Column:
-    """array<struct<s, ord, e, kind, v>>: matches of pattern whose group has least characters; positions in code points, end exclusive."""
-    empty = F.expr("cast(array() as array<struct<s:int,ord:int,e:int,kind:string,v:string>>)")
-    start = F.expr("struct(0 as pos, cast(array() as array<struct<s:int,ord:int,e:int,kind:string,v:string>>) as found)")
+_PART = "struct<ord:int,i:int,gap:int,len:int,v:string>"
+
+
+def find_parts(text: Column, kind: str, pattern: str, group: int) -> Column:
+    """array<struct<ord, i, gap, len, v>>: the matches of a kind in order, each with the code points since the match before it, its length and its value."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    pieces = F.transform(F.split(text, pattern, -1), F.char_length)
+    zipped = F.filter(F.arrays_zip(F.split(text, pattern, -1).alias("p"), whole.alias("m"), value.alias("v")), lambda x: x["m"].isNotNull())
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["pos"] + x["p"]
-        e = s + F.char_length(x["m"])
-        span = F.struct(s.alias("s"), F.lit(KINDS.index(kind)).alias("ord"), e.alias("e"), F.lit(kind).alias("kind"), x["v"].alias("v"))
-        return F.struct(e.alias("pos"), F.when(F.char_length(x["v"]) >= least, F.concat(acc["found"], F.array(span))).otherwise(acc["found"]).alias("found"))
+    def part(x: Column, i: Column) -> Column:
+        return F.struct(F.lit(KINDS.index(kind)).alias("ord"), i.alias("i"), F.char_length(x["p"]).alias("gap"), F.char_length(x["m"]).alias("len"), x["v"].alias("v"))
 
-    zipped = F.filter(F.arrays_zip(pieces.alias("p"), whole.alias("m"), value.alias("v")), lambda x: x["m"].isNotNull())
-    return F.when(text.rlike(pattern), F.aggregate(zipped, start, step, lambda acc: acc["found"])).otherwise(empty)
+    return F.when(text.rlike(pattern), F.transform(zipped, part)).otherwise(F.expr(f"cast(array() as array<{_PART}>)"))
 
 
 def _joined(spans: Column) -> Column:
@@ -64,26 +62,33 @@ def live_looking(value: Column) -> Column:
 
 
 def scan(docs: DataFrame, owner: Column, repository: Column) -> DataFrame:
-    """One narrow row per document: base counts, base digest, base spans and further candidates, without the text."""
+    """One narrow row per document: the parts of all kinds with hashes in place of values, without the text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), owner.cast("string").alias("owner"), repository.cast("string").alias("repository"))
-    for kind, (pattern, group, least) in (BASE | EXTRA).items():
-        rows = rows.withColumn(f"k_{kind}", find_spans(F.col("text"), kind, _FAST.get(kind, pattern), group, least))
-    mixed = F.filter("k_mixed", lambda x: x["v"].rlike("[a-z]") & x["v"].rlike("[A-Z]") & x["v"].rlike("[0-9]"))
-    rows = rows.withColumn("base", F.array_sort(F.concat(*[F.col(f"k_{k}") for k in BASE])))
-    rows = rows.withColumn("more", F.array_sort(F.concat("k_prefixed", "k_webtoken", mixed)))
-    hashed = F.transform(F.concat("base", "more"), lambda x: F.struct(x["s"], x["ord"], x["e"], x["kind"], F.unhex(F.sha2(x["v"], 256)).alias("h"), live_looking(x["v"]).alias("live")))
-    return rows.select(
-        F.monotonically_increasing_id().alias("uid"), "doc_id", "owner", "repository",
-        *[F.size(f"k_{k}").cast("long").alias(f"n_{k}") for k in BASE],
-        F.sha2(_joined(F.col("base")), 256).alias("base_sha256"), hashed.alias("cands"),
-    )
+    parts = F.concat(*[find_parts(F.col("text"), kind, _FAST.get(kind, pattern), group) for kind, (pattern, group, _) in (BASE | EXTRA).items()])
+    least = F.array(*[F.lit(n) for _, _, n in (BASE | EXTRA).values()])
+
+    def narrow(x: Column) -> Column:
+        long = F.char_length(x["v"]) >= F.element_at(least, x["ord"] + 1)
+        mixed = x["v"].rlike("[a-z]") & x["v"].rlike("[A-Z]") & x["v"].rlike("[0-9]")
+        ok = long & ((x["ord"] != KINDS.index("mixed")) | mixed)
+        return F.struct(x["ord"], x["i"], x["gap"], x["len"], F.unhex(F.sha2(x["v"], 256)).alias("h"), ok.alias("ok"), live_looking(x["v"]).alias("live"))
 
+    return rows.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "owner", "repository", F.transform(parts, narrow).alias("parts"))
 
-def ownership(rows: DataFrame) -> DataFrame:
-    """Hash of a value -> number of owners, repositories and copies over the corpus."""
-    each = rows.where(F.size("cands") > 0).select("owner", "repository", F.explode(F.array_distinct(F.transform("cands", lambda x: x["h"]))).alias("h"))
-    by_repo = each.groupBy("h", "owner", "repository").agg(F.count("*").alias("copies"))
+
+def candidates(rows: DataFrame) -> DataFrame:
+    """uid, owner, repository, s, ord, e, kind, h, live: the spans of scan(), positions in code points, end exclusive."""
+    each = rows.where(F.size("parts") > 0).select("uid", "owner", "repository", F.explode("parts").alias("c")).select("uid", "owner", "repository", "c.*")
+    end = F.sum(F.col("gap") + F.col("len")).over(Window.partitionBy("uid", "ord").orderBy("i").rowsBetween(Window.unboundedPreceding, 0))
+    kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("ord") + 1)
+    placed = each.withColumn("e", end.cast("int")).withColumn("s", F.col("e") - F.col("len"))
+    return placed.where("ok").select("uid", "owner", "repository", "s", "ord", "e", kind.alias("kind"), "h", "live")
+
+
+def ownership(cands: DataFrame) -> DataFrame:
+    """Hash of a value -> number of owners, repositories and documents over the corpus."""
+    by_repo = cands.select("uid", "owner", "repository", "h").distinct().groupBy("h", "owner", "repository").agg(F.count("*").alias("copies"))
     by_owner = by_repo.groupBy("h", "owner").agg(F.count("*").alias("repositories"), F.sum("copies").alias("copies"))
     return by_owner.groupBy("h").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"), F.sum("copies").alias("copies"))
 
@@ -91,19 +96,24 @@ def ownership(rows: DataFrame) -> DataFrame:
 def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners: int = 2) -> DataFrame:
     """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live, n_copied."""
     rows = materialize(scan(docs, owner, repository), "secret-rows")
-    owned = materialize(ownership(rows), "secret-owners")
-    cands = rows.where(F.size("cands") > 0).select("uid", F.explode("cands").alias("c")).select("uid", "c.*").join(owned, "h")
+    cands = materialize(candidates(rows), "secret-spans")
+    owned = materialize(ownership(cands), "secret-owners")
+    # a value in very many documents is found by broadcast: not more than 1000 values hold a thousandth of the spans each
+    spans = cands.count()
+    counted = owned.join(cands.groupBy("h").agg(F.count("*").alias("spans")), "h").select("h", "owners", F.col("spans").alias("copies"))
+    cands = join_counted(cands.drop("owner", "repository"), counted, "h", spans)
     copied = F.col("owners") > max_owners
-    live = ~copied & F.col("live")
-    kept = (F.col("ord") < len(BASE)) | live
+    live, base = ~copied & F.col("live"), F.col("ord") < len(BASE)
     span = F.struct("s", "ord", "e", "kind")
     by_doc = cands.groupBy("uid").agg(
-        F.array_sort(F.array_distinct(F.collect_list(F.when(kept, span)))).alias("spans"), F.count_if(live).alias("n_live"), F.count_if(copied).alias("n_copied")
-    )
-    return rows.join(by_doc, "uid", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256",
-        F.coalesce(_joined(F.col("spans")), F.lit("")).alias("spans"),
-        F.coalesce("n_live", F.lit(0)).cast("long").alias("n_live"), F.coalesce("n_copied", F.lit(0)).cast("long").alias("n_copied"),
+        *[F.count_if(F.col("ord") == i).alias(f"n_{k}") for i, k in enumerate(BASE)],
+        F.array_sort(F.array_distinct(F.collect_list(F.when(base | live, span)))).alias("spans"), F.array_sort(F.collect_list(F.when(base, span))).alias("base"),
+        F.count_if(live).alias("n_live"), F.count_if(copied).alias("n_copied"),
+    )
+    count = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    joined = lambda c: F.coalesce(_joined(F.col(c)), F.lit(""))
+    return rows.select("uid", "doc_id").join(by_doc, "uid", "left").select(
+        "doc_id", *[count(f"n_{k}") for k in BASE], F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"), count("n_live"), count("n_copied"),
     )
 
 
