@@ -2,18 +2,22 @@
 
 A batch is a table of signed changes: inserts, deletes and revised counts, by source, language and tokenizer version. A
 revision carries the count before and after (and the keys before, if they changed). Each batch is pre-aggregated to one
-signed row per key and written to its own folder in the shared store; the folder's _SUCCESS marker is the commit. A batch
-id that is already committed is ignored, a half-written one is overwritten, so replays and lost executors change nothing.
-Totals are the sum of all committed deltas; compaction folds committed deltas into a base that lists their ids.
+signed row per key, written aside and then renamed to its own folder in the shared store: the rename is the commit, and
+of two writers of one batch id only one succeeds. A batch id that is already committed is ignored, what is left half
+written is never read, so replays and lost executors change nothing. Totals are the sum of all committed deltas;
+compaction lists the batches once and folds these, and only these, into a base that names them.
 
 Defined results: null source, language or version form keys of their own; null counts are 0; an insert of n tokens adds
 one document and n tokens, a delete takes them away, a revision adds the difference; keys whose documents and tokens are
-all gone are left out; repeated rows of a batch are separate changes; an empty batch commits and changes nothing; other
-columns are ignored.
+all gone are left out; repeated rows of a batch are separate changes; an empty batch commits and changes nothing; an op
+that is null or none of insert, delete and revise, or a revision without the column old_tokens, fails the batch, which
+is then not committed; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,30 +34,30 @@ class TokenRollup:
     def _folder(self, batch: str) -> str:
         return f"{self.path}/deltas/batch={batch}"
 
-    def committed(self, batch: str) -> bool:
-        return path_exists(self.spark, f"{self._folder(batch)}/_SUCCESS") or batch in self._folded()
-
-    def _bases(self) -> list[str]:
-        root = f"{self.path}/base"
-        if not path_exists(self.spark, root):
+    def _names(self, folder: str, marker: str) -> list[str]:
+        if not path_exists(self.spark, folder):
             return []
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(root)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         names = [s.getPath().getName() for s in p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)]
-        return sorted((n for n in names if path_exists(self.spark, f"{root}/{n}/ids/_SUCCESS")), key=lambda n: int(n[1:]))
+        return [n for n in names if path_exists(self.spark, f"{folder}/{n}/{marker}")]
+
+    def _base(self) -> str | None:
+        """The newest whole base; its ids are written last."""
+        names = self._names(f"{self.path}/base", "ids/_SUCCESS")
+        return f"{self.path}/base/{max(names, key=lambda n: int(n[1:]))}" if names else None
 
-    def _folded(self) -> set[str]:
-        bases = self._bases()
-        if not bases:
+    def _folded(self, base: str | None, batches: list[str]) -> set[str]:
+        """Which of batches the base holds. Only asked for batches that still have folders, or one that is to be committed."""
+        if base is None or not batches:
             return set()
-        return {r.batch for r in self.spark.read.schema("batch string").parquet(f"{self.path}/base/{bases[-1]}/ids").collect()}
+        ids = self.spark.read.schema("batch string").parquet(f"{base}/ids")
+        return {r.batch for r in ids.where(F.col("batch").isin(batches)).distinct().collect()}
+
+    def committed(self, batch: str) -> bool:
+        return path_exists(self.spark, f"{self._folder(batch)}/_SUCCESS") or bool(self._folded(self._base(), [batch]))
 
     def _batches(self) -> list[str]:
-        root = f"{self.path}/deltas"
-        if not path_exists(self.spark, root):
-            return []
-        p = self.spark._jvm.org.apache.hadoop.fs.Path(root)
-        names = [s.getPath().getName() for s in p.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(p)]
-        return sorted(n.removeprefix("batch=") for n in names if path_exists(self.spark, f"{root}/{n}/_SUCCESS"))
+        return sorted(n.removeprefix("batch=") for n in self._names(f"{self.path}/deltas", "_SUCCESS"))
 
     @staticmethod
     def deltas(changes: DataFrame) -> DataFrame:
@@ -66,6 +70,8 @@ class TokenRollup:
             was = [F.col(f"old_{k}" if f"old_{k}" in changes.columns else k).cast("string").alias(k) for k in KEYS]
             before = F.struct(*was, F.lit(-1).cast("long").alias("d_docs"), (-F.coalesce(F.col("old_tokens"), F.lit(0)).cast("long")).alias("d_tokens"))
             cases = cases.when(F.col("op") == "revise", F.array(before, after))
+        kind = "array<struct<source:string,lang:string,version:string,d_docs:bigint,d_tokens:bigint>>"
+        cases = cases.otherwise(F.raise_error(F.concat(F.lit("unknown change: "), F.coalesce(F.col("op").cast("string"), F.lit("null")))).cast(kind))
         each = changes.select(F.explode(cases).alias("d")).select("d.*")
         return each.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
 
@@ -75,31 +81,46 @@ class TokenRollup:
             raise ValueError("batch ids are letters, digits, - and _")
         if self.committed(batch):
             return False
-        self.deltas(changes).coalesce(1).write.mode("overwrite").parquet(self._folder(batch))
-        return True
-
-    def _all(self) -> DataFrame:
-        read = self.spark.read.schema(_DELTA)
-        folded, bases = self._folded(), self._bases()
-        out = self.spark.createDataFrame([], _DELTA)
-        if bases:
-            out = out.unionByName(read.parquet(f"{self.path}/base/{bases[-1]}/sums"))
-        live = [self._folder(b) for b in self._batches() if b not in folded]
-        return out.unionByName(read.parquet(*live)) if live else out
+        aside = f"{self.path}/aside/{uuid.uuid4().hex}"
+        self.deltas(changes).write.mode("overwrite").parquet(aside)
+        return self._rename(aside, self._folder(batch))
+
+    def _rename(self, of: str, to: str) -> bool:
+        """Puts a whole folder in place; False if another writer was first."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        source, target = hadoop.Path(of), hadoop.Path(to)
+        if path_exists(self.spark, to) and not path_exists(self.spark, f"{to}/_SUCCESS"):
+            delete_path(self.spark, to)  # left by a writer that did not finish
+        files = source.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        files.mkdirs(target.getParent())
+        if not path_exists(self.spark, to) and files.rename(source, target) and not path_exists(self.spark, f"{to}/{source.getName()}"):
+            return True
+        delete_path(self.spark, f"{to}/{source.getName()}")  # some stores move into a folder that has appeared meanwhile
+        delete_path(self.spark, of)
+        return False
+
+    def _all(self, base: str | None, batches: list[str]) -> DataFrame:
+        """The rows of a base and of those batches that it does not hold."""
+        read, folded = self.spark.read.schema(_DELTA), self._folded(base, batches)
+        paths = ([f"{base}/sums"] if base else []) + [self._folder(b) for b in batches if b not in folded]
+        return read.parquet(*paths) if paths else self.spark.createDataFrame([], _DELTA)
 
     def compact(self) -> None:
-        """Folds all committed deltas into a new base, then removes their folders."""
-        folded, batches, bases = self._folded(), self._batches(), self._bases()
-        to = f"{self.path}/base/v{int(bases[-1][1:]) + 1 if bases else 1}"
-        sums = self._all().groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-        sums.coalesce(1).write.mode("overwrite").parquet(f"{to}/sums")
-        self.spark.createDataFrame([(b,) for b in sorted(folded | set(batches))], "batch string").coalesce(1).write.mode("overwrite").parquet(f"{to}/ids")
+        """Folds the batches that are committed now into a new base, then removes their folders. One compaction at a time."""
+        base, batches = self._base(), self._batches()
+        to = f"{self.path}/base/v{int(base.rpartition('/v')[2]) + 1 if base else 1}"
+        sums = self._all(base, batches).groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+        sums.write.mode("overwrite").parquet(f"{to}/sums")
+        ids = self.spark.createDataFrame([(b,) for b in batches], "batch string")
+        if base:
+            ids = ids.union(self.spark.read.schema("batch string").parquet(f"{base}/ids")).distinct()
+        ids.write.mode("overwrite").parquet(f"{to}/ids")
         for b in batches:
             delete_path(self.spark, self._folder(b))
 
     def totals(self) -> DataFrame:
         """source, lang, version, n_docs, n_tokens."""
-        sums = self._all().groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
+        sums = self._all(self._base(), self._batches()).groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
         return sums.where("n_docs <> 0 or n_tokens <> 0")
 
 
