@@ -1,21 +1,28 @@
 """Operator 6, personal data: high-recall candidates, gradient-boosted trees, calibrated thresholds.
 
 Base spans (email, ip, card, phone) are found by their fixed patterns and always stay. Generators with looser patterns
-propose further, overlapping spans (spelled-out addresses, numbers without a plus sign, ids with labels). Boosted trees
-score every candidate from its format and the words around it. They are fitted on a bounded sample (train_rows) of
-candidates that the corpus labels itself: what the strict patterns accept is positive, loose candidates without any
-structural support are negative. Scores are calibrated on the held-out half by isotonic steps, and a loose candidate is
-redacted if its calibrated probability reaches threshold and it overlaps no base span; of overlapping ones the most
-probable stays. Sampling is by hash order, so it does not depend on partitions.
+propose further, overlapping spans: spelled-out addresses, phone numbers without a plus sign, long numbers that fail the
+check digit, labelled ids. Each belongs to a family with a validator of its own (the strict pattern, Luhn's check digit,
+IBAN's remainder), and what a validator looks at is hidden from the trees: they see the words, the numbers and the other
+personal data around a candidate and the coarse format that all of a family share. So labels (valid or not) and features
+are separate views. Candidates that fail their validator are unlabelled rather than negative, so scores are corrected as
+for learning from positive and unlabelled examples: isotonic steps on the held-out half give how often candidates with
+such a score are valid, and that over the same figure among held-out valid ones of the family is the probability that
+the candidate is of the kind. Loose candidates that reach the threshold and overlap no base span are redacted; of
+overlapping ones the most probable stays. The sample for fitting is bounded (train_rows) and taken in hash order.
+
+A family without valid candidates in the sample, or without others, adds nothing.
 
 Defined results: null text is empty; empty texts have zero counts and the hash of the empty string; repeated rows are
-reported each; an empty table gives an empty result; texts are scanned whole in linear time; other columns are ignored.
+reported each; an empty table gives an empty result; texts are scanned whole in near-linear time; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import documents, hash_sample, materialize, tidy
 
-KINDS = ["email", "ip", "card", "phone", "email_words", "phone_loose", "id_labelled"]
+KINDS = ["email", "ip", "card", "phone", "email_words", "phone_loose", "id_labelled", "card_loose"]
+FAMILY = [0, 1, 2, 3, 0, 3, 4, 2]
 BASE_KINDS = KINDS[:4]
 
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -38,8 +46,9 @@ _SPELLED = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])
 _LOOSE = re.compile(r"(?<![0-9A-Za-z+.,-])\(?[0-9]{2,4}\)?[ .-][0-9]{2,4}(?:[ .-][0-9]{2,5}){1,3}(?![0-9A-Za-z])")
 _LABELLED = re.compile(r"\b(?:ssn|passport|iban|tax id|driver licence|licence no)\b[ :#]{1,3}[A-Z0-9][A-Z0-9 -]{5,30}[A-Z0-9]", re.I)
 _CUES = re.compile(r"phone|tel|call|mobile|fax|mail|contact|address|card|visa|account|passport|ssn|iban", re.I)
+_NUMBER = re.compile(r"[0-9]+")
 
-FEATURES = ["kind", "length", "digits", "letters", "seps", "runs", "plus", "cue", "luhn", "before_space", "after_space", "line_digits", "distinct", "upper"]
+FEATURES = ["family", "size", "cue", "label", "before_space", "after_space", "line_digits", "near_numbers", "words_around", "base_near", "base_in_text", "line_start", "bars", "repeats"]
 
 
 def luhn(digits: str) -> bool:
@@ -98,28 +107,54 @@ def loose_spans(text: str) -> list[tuple[int, int, int]]:
         found += [(m.start(), 4, m.end()) for m in _SPELLED.finditer(text)]
     found += [(m.start(), 5, m.end()) for m in _LOOSE.finditer(text) if 7 <= sum(c.isdigit() for c in m[0]) <= 15]
     found += [(m.start(), 6, m.end()) for m in _LABELLED.finditer(text) if any(c.isdigit() for c in m[0])]
+    for m in _CARD.finditer(text):
+        if m.end() - m.start() >= 12:
+            at = m.start()
+            for part in re.split(r"(?<=[0-9])[\x20-](?=[0-9]{12})", m[0]):  # whole numbers side by side are candidates each
+                if 12 <= sum(map(str.isdigit, part)) <= 19:
+                    found.append((at, 7, at + len(part)))
+                at += len(part) + 1
     return found
 
 
-def features(text: str, s: int, e: int, kind: int) -> list[float]:
-    span, before = text[s:e], text[max(0, s - 24) : s]
-    digits = [c for c in span if "0" <= c <= "9"]
-    ctx = text[max(0, s - 40) : e + 40]
+def free_of(spans: list[tuple[int, int, int]], taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The (start, kind, end) spans that overlap none of taken (sorted by start)."""
+    starts, ends, most = [s for s, _, _ in taken], [], 0
+    for _, _, e in taken:
+        most = max(most, e)
+        ends.append(most)
+    out = []
+    for s, k, e in spans:
+        i = bisect_left(starts, e)  # of those that start before e, does one end after s?
+        if not i or ends[i - 1] <= s:
+            out.append((s, k, e))
+    return out
+
+
+def valid_id(span: str) -> bool:
+    """Whether a labelled id passes a check of its own: an IBAN's remainder, or the areas of a social security number."""
+    value = re.sub(r"[^A-Z0-9]", "", re.split(r"[ :#]", span, maxsplit=1)[1].upper())
+    if re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", value):
+        return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
+    return bool(re.fullmatch(r"(?!000|666|9)[0-9]{3}(?!00)[0-9]{2}(?!0000)[0-9]{4}", value))
+
+
+def features(text: str, s: int, e: int, kind: int, base: list[tuple[int, int, int]], starts: list[int], seen: dict[str, int]) -> list[float]:
+    """What the trees see of a candidate: nothing of its validator. base: the text's base spans, starts: where they start."""
+    before, after = text[max(0, s - 40) : s], text[e : e + 40]
+    line_before, line_after = before.rpartition("\n")[2], after.partition("\n")[0]
+    lo, hi = bisect_left(starts, s - 200), bisect_left(starts, e + 200)
+    around = before + " " + after
     return [
-        kind, e - s, len(digits), sum(c.isalpha() for c in span), sum(c in " .-()" for c in span), len(re.findall(r"[0-9]+", span)),
-        span.startswith("+"), bool(_CUES.search(before)), len(digits) >= 12 and luhn("".join(digits)), before[-1:] in ("", " ", "\n"), text[e : e + 1] in ("", " ", "\n", ".", ","),
-        sum(c.isdigit() for c in ctx) - len(digits), len(set(digits)), sum(c.isupper() for c in span),
+        FAMILY[kind], min(e - s, 60) // 4, bool(_CUES.search(before[-24:])), ":" in before[-3:] or "=" in before[-3:], before[-1:] in ("", " ", "\n"), after[:1] in ("", " ", "\n", ".", ","),
+        sum(c.isdigit() for c in line_before + line_after), len(_NUMBER.findall(around)), sum(w.isalpha() for w in around.split()),
+        sum(not (x < e and s < y) for x, _, y in base[lo:hi][:50]), min(len(base) - (kind < len(BASE_KINDS)), 20), len(line_before) < 3, around.count("|") + around.count("\t"), min(seen.get(text[s:e], 1), 9),
     ]
 
 
-def weak_label(kind: int, x: list[float]) -> float | None:
-    """1: accepted by a strict pattern. 0: a loose candidate without support. None: undecided, left to the trees."""
-    if kind < len(BASE_KINDS):
-        return 1.0
-    f = dict(zip(FEATURES, x, strict=True))
-    if f["cue"]:
-        return 1.0
-    return 0.0 if not f["plus"] and (f["line_digits"] > 6 or not f["before_space"] or f["distinct"] < 4 or kind == 5) else None
+def is_valid(kind: int, span: str) -> bool:
+    """The label: whether the candidate passes the validator of its family."""
+    return kind < len(BASE_KINDS) or (kind == 6 and valid_id(span))
 
 
 # --- boosted trees -----------------------------------------------------------------------------------------------------
@@ -210,27 +245,50 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class PiiModel:
-    def __init__(self, trees: BoostedTrees | None, steps: tuple[np.ndarray, np.ndarray]):
-        self.trees, self.steps = trees, steps
+    """Trees, the isotonic steps of their scores, and for each family how probable validity is among the valid (None: adds nothing)."""
+
+    def __init__(self, trees: BoostedTrees | None, steps: tuple[np.ndarray, np.ndarray], families: dict[int, float]):
+        self.trees, self.steps, self.families = trees, steps, families
 
     @classmethod
-    def fit(cls, x: np.ndarray, y: np.ndarray) -> PiiModel:
+    def fit(cls, x: np.ndarray, y: np.ndarray, least: int = 10) -> PiiModel:
         if len(y) < 40 or y.min() == y.max():
-            return cls(None, (np.zeros(1), np.zeros(1)))  # nothing to learn from: no loose span is redacted
+            return cls(None, (np.zeros(1), np.zeros(1)), {})  # nothing to learn from: no loose span is redacted
         half = np.arange(len(y)) % 2 == 0
         trees = BoostedTrees().fit(x[half], y[half])
-        return cls(trees, isotonic(trees.score(x[~half]), y[~half]))
+        out = cls(trees, isotonic(trees.score(x[~half]), y[~half]), {})
+        valid = out.valid(x)
+        for f in range(max(FAMILY) + 1):
+            own = x[:, 0] == f
+            if (own & ~half & (y == 1)).sum() >= least and (own & (y == 0)).any():
+                out.families[f] = float(valid[own & ~half & (y == 1)].mean())
+        return out
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
-        if self.trees is None:
-            return np.zeros(len(x))
+    def valid(self, x: np.ndarray) -> np.ndarray:
+        """How often candidates with such features pass their validator."""
         at = np.searchsorted(self.steps[0], self.trees.score(x), side="right") - 1
         return np.where(at >= 0, self.steps[1][np.maximum(at, 0)], 0.0)
 
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        if self.trees is None or not len(x):
+            return np.zeros(len(x))
+        among = np.array([self.families.get(f, np.inf) for f in range(max(FAMILY) + 1)])[x[:, 0].astype(int)]
+        return np.minimum(1.0, self.valid(x) / among)
+
 
 # --- the operator ------------------------------------------------------------------------------------------------------
 
-_SPANS = "array<struct<s:int,k:int,e:int,x:array<float>>>"
+_SPANS = "array<struct<s:int,k:int,e:int,y:boolean,x:array<float>>>"
+
+
+def text_candidates(text: str | None) -> tuple[list[tuple], list[tuple]]:
+    """Base spans and loose spans apart from them, each (start, kind, end, valid, features)."""
+    text = text or ""
+    base = base_spans(text)
+    loose = free_of(loose_spans(text), base)
+    starts, seen = [s for s, _, _ in base], Counter(text[s:e] for s, _, e in base + loose)
+    make = lambda s, k, e: (s, k, e, is_valid(k, text[s:e]), features(text, s, e, k, base, starts, seen))
+    return [make(*c) for c in base], [make(*c) for c in loose]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
@@ -239,13 +297,8 @@ def candidates(docs: DataFrame) -> DataFrame:
     @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
-            base, loose = [], []
-            for text in df["text"]:
-                text = text or ""
-                b = base_spans(text)
-                base.append([(s, k, e, features(text, s, e, k)) for s, k, e in b])
-                loose.append([(s, k, e, features(text, s, e, k)) for s, k, e in loose_spans(text) if not any(s < e2 and s2 < e for s2, _, e2 in b)])
-            yield pd.DataFrame({"doc_id": df["doc_id"], "base": base, "loose": loose})
+            both = [text_candidates(t) for t in df["text"]]
+            yield pd.DataFrame({"doc_id": df["doc_id"], "base": [b for b, _ in both], "loose": [x for _, x in both]})
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {ids}, base {_SPANS}, loose {_SPANS}")
@@ -254,13 +307,23 @@ def candidates(docs: DataFrame) -> DataFrame:
 def fit(found: DataFrame, train_rows: int = 20000) -> PiiModel:
     """Fits on at most train_rows candidates, the first in hash order."""
     each = found.select("doc_id", F.explode(F.concat("base", "loose")).alias("c")).select("doc_id", "c.*")
-    rows = hash_sample(each, ["doc_id", "s", "k", "e"], train_rows).select("k", "x").collect()
-    labelled = [(r.x, y) for r in rows if (y := weak_label(r.k, r.x)) is not None]
-    if not labelled:
-        return PiiModel.fit(np.zeros((0, len(FEATURES))), np.zeros(0))
-    x = np.array([a for a, _ in labelled], float)
-    x[:, 0] = 0  # the generator is what gave the label: the trees see format and context only
-    return PiiModel.fit(x, np.array([y for _, y in labelled]))
+    rows = hash_sample(each, ["doc_id", "s", "k", "e"], train_rows).select("y", "x").collect()
+    return PiiModel.fit(np.array([r.x for r in rows], float).reshape(len(rows), len(FEATURES)), np.array([float(r.y) for r in rows]))
+
+
+def most_probable(spans: list[tuple[int, int, int]], p: np.ndarray, threshold: float) -> list[tuple[int, int, int]]:
+    """Of the (start, kind, end) spans that reach threshold, the most probable first, those that overlap none taken before."""
+    starts: list[int] = []
+    ends: list[int] = []
+    out = []
+    for i in sorted(np.flatnonzero(p >= threshold).tolist(), key=lambda i: (-p[i], spans[i][0], spans[i][2])):
+        s, k, e = spans[i]
+        at = bisect_left(starts, e)
+        if not at or ends[at - 1] <= s:
+            starts.insert(at, s)
+            ends.insert(at, e)
+            out.append((s, k, e))
+    return out
 
 
 def redactions(found: DataFrame, model: PiiModel, threshold: float) -> DataFrame:
@@ -268,29 +331,23 @@ def redactions(found: DataFrame, model: PiiModel, threshold: float) -> DataFrame
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for df in frames:
             xs = [c["x"] for loose in df["loose"] for c in loose]
-            x = np.array(xs, float).reshape(len(xs), len(FEATURES))
-            x[:, 0] = 0
-            p, at, out = model.probability(x), 0, []
+            p, at, out = model.probability(np.array(xs, float).reshape(len(xs), len(FEATURES))), 0, []
             for doc, base, loose in zip(df["doc_id"], df["base"], df["loose"], strict=True):
                 spans = [(c["s"], c["k"], c["e"]) for c in base]
                 joined = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
                 counts = [sum(k == i for _, k, _ in spans) for i in range(4)]
-                own = sorted((-p[at + i], c["s"], c["e"], c["k"]) for i, c in enumerate(loose) if p[at + i] >= threshold)
+                added = most_probable([(c["s"], c["k"], c["e"]) for c in loose], p[at : at + len(loose)], threshold)
                 at += len(loose)
-                added: list[tuple[int, int, int]] = []
-                for _, s, e, k in own:
-                    if not any(s < e2 and s2 < e for s2, _, e2 in added):
-                        added.append((s, k, e))
                 every = ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans + added))
-                out.append((doc, *counts, hashlib.sha256(joined.encode()).hexdigest(), every, len(added)))
-            yield pd.DataFrame(out, columns=["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_added"])
+                out.append((doc, *counts, hashlib.sha256(joined.encode()).hexdigest(), every, len(added), len(spans) + len(added)))
+            yield pd.DataFrame(out, columns=["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_added", "n_spans"])
 
     ids = found.schema["doc_id"].dataType.simpleString()
-    return found.mapInPandas(run, f"doc_id {ids}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return found.mapInPandas(run, f"doc_id {ids}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def find_pii(docs: DataFrame, threshold: float = 0.9, train_rows: int = 20000) -> DataFrame:
-    """One row per document: doc_id, counts of the base kinds, base_sha256, spans, n_added."""
+    """One row per document: doc_id, counts of the base kinds, base_sha256, spans, n_added, n_spans."""
     found = materialize(candidates(docs), "pii")
     return redactions(found, fit(found, train_rows), threshold)
 
