@@ -1,12 +1,16 @@
 import hashlib
 import itertools
+import struct
+import tracemalloc
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from tilelake.llm import media
 from tilelake.llm.media import (
     DEFLATE_ADOBE, LZW, NONE, PACKBITS, decode_pages, encode_tiff, lzw_decode, lzw_encode, packbits_decode, packbits_encode, payload_of, text_media, tiff_pages,
 )
@@ -60,3 +64,38 @@ def test_bad_files_give_an_error_row(spark):
     got = tiff_pages(df, "media").collect()
     assert sorted((r.id, r.page) for r in got if r.error is None) == [(1, 0), (1, 1)]
     assert {r.id for r in got if r.error} == {2, 3, 4}
+
+
+def test_bad_files_become_error_rows(spark):
+    """Every tag of a file set to every odd value, and random bytes changed: an entry with a reason or pages, never a crash or a huge array."""
+    rng = np.random.default_rng(5)
+    whole = media.encode_tiff([rng.integers(0, 255, (40, 33, 3), np.uint8)], media.DEFLATE_ADOBE, 2, tile=16)
+    files = [b"", b"II", whole[:50], whole]
+    (at,) = struct.unpack_from("<I", whole, 4)
+    (n,) = struct.unpack_from("<H", whole, at)
+    for i in range(n):
+        for value in (0, 1, 3, 70_000, 2**31, 2**32 - 1):
+            b = bytearray(whole)
+            struct.pack_into("<I", b, at + 10 + 12 * i, value)
+            files.append(bytes(b))
+            b = bytearray(whole)
+            struct.pack_into("<I", b, at + 6 + 12 * i, min(value, 100_000))
+            files.append(bytes(b))
+    for _ in range(300):
+        b = bytearray(whole)
+        for k in rng.integers(0, len(b), 3):
+            b[k] = rng.integers(0, 256)
+        files.append(bytes(b))
+    tracemalloc.start()
+    got = media._page_arrays(pd.Series(files))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 50_000_000 and all((p["error"] is None) == (p["pixels"] is not None) for x in got for p in x)
+    assert got[3][0]["error"] is None and all(x[0]["error"] for x in got[:3])
+    rows = media.tiff_pages(spark.createDataFrame([(i, f) for i, f in enumerate(files[:60])], "id int, media binary"), "media")
+    assert rows.select("id").distinct().count() == 60
+
+
+def test_planes_are_refused_and_many_pages_are_read():
+    pages = [np.full((1, 64), i % 251, np.uint8) for i in range(66_000)]
+    assert sum(1 for _ in media.decode_pages(media.encode_tiff(pages, media.NONE))) == 66_000

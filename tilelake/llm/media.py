@@ -6,8 +6,9 @@ one row per page. encode_tiff writes such files. The query stores each document'
 every PAGE_ROWS rows of 64 samples, reads the pages back and derives its digests from them.
 
 Defined results: null text is empty, its payload is 64 zero bytes; equal texts give equal files; repeated rows are
-reported each; an empty table gives an empty result; a file that can't be decoded gives one row with page null and the
-reason in error; other columns are ignored.
+reported each; an empty table gives an empty result; a file that can't be decoded, whatever is wrong with it, gives one
+row with page null and the reason in error; sizes that a file's strips can't fill are refused before anything is
+allocated, and decoders stop at the size that is expected; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from .common import documents, tidy
 # Fixed values of the format.
 NONE, LZW, DEFLATE_ADOBE, PACKBITS, DEFLATE = 1, 5, 8, 32773, 32946
 WIDTH, LENGTH, BITS, COMPRESSION, PHOTOMETRIC, STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_COUNTS = 256, 257, 258, 259, 262, 273, 277, 278, 279
-PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS = 317, 322, 323, 324, 325
+PREDICTOR, TILE_WIDTH, TILE_LENGTH, TILE_OFFSETS, TILE_COUNTS, FILL_ORDER, PLANAR = 317, 322, 323, 324, 325, 266, 284
 _TYPES = {1: ("B", 1), 2: ("c", 1), 3: ("H", 2), 4: ("I", 4), 6: ("b", 1), 8: ("h", 2), 9: ("i", 4)}
 NAMES = {NONE: "raw", LZW: "lzw", DEFLATE_ADOBE: "deflate", PACKBITS: "packbits", DEFLATE: "deflate"}
 
+#: The most bytes that one byte of a strip can decode to; an LZW code of 12 bits stands for 4096 bytes at most.
+EXPANSION = {NONE: 1, PACKBITS: 64, LZW: 2731, DEFLATE: 1032, DEFLATE_ADOBE: 1032}
+
 PAGE_ROWS = 16384  # rows of a page: 1 MB of samples
-MAX_PAGES = 65536
 
 
 # --- codecs ------------------------------------------------------------------------------------------------------------
@@ -170,7 +173,7 @@ def _decode(data: bytes, compression: int, size: int) -> bytes:
     if compression == LZW:
         return lzw_decode(data, size)
     if compression in (DEFLATE, DEFLATE_ADOBE):
-        return zlib.decompress(data)
+        return zlib.decompressobj().decompress(data, max(1, size))
     raise ValueError(f"compression {compression} is not supported")
 
 
@@ -229,7 +232,7 @@ def _directories(data: bytes) -> Iterator[tuple[str, dict[int, list[int]]]]:
         raise ValueError("not a classic TIFF")
     at, seen = struct.unpack_from(order + "I", data, 4)[0], set()
     while at:
-        if at in seen or len(seen) >= MAX_PAGES:
+        if at in seen:  # so there are fewer pages than bytes
             raise ValueError("directories form a loop")
         seen.add(at)
         (n,) = struct.unpack_from(order + "H", data, at)
@@ -256,11 +259,23 @@ def decode_pages(data: bytes) -> Iterator[dict]:
             raise ValueError("only 8-bit samples are supported")
         if pred not in (1, 2):
             raise ValueError(f"predictor {pred} is not supported")
+        if one(FILL_ORDER, 1) != 1 or (one(PLANAR, 1) != 1 and c != 1):
+            raise ValueError("reversed bits and separate planes are not supported")
         tiled = TILE_OFFSETS in tags
         tw, th = (one(TILE_WIDTH), one(TILE_LENGTH)) if tiled else (w, min(one(ROWS_PER_STRIP, h), h))
+        if min(w, h, c, tw, th) <= 0:
+            raise ValueError("a size is not positive")
+        parts = list(zip(tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_COUNTS if tiled else STRIP_COUNTS], strict=True))
         across = -(-w // tw)
+        if len(parts) != across * -(-h // th):
+            raise ValueError("strips or tiles do not cover the page")
+        if any(at < 0 or n < 0 or at + n > len(data) for at, n in parts):
+            raise ValueError("a strip or tile lies outside the file")
+        sizes = [(th if tiled else min(th, h - k * th)) * tw * c for k in range(len(parts))]
+        if any(size > EXPANSION.get(comp, 1) * n + 64 for size, (_, n) in zip(sizes, parts, strict=True)):
+            raise ValueError("a strip or tile is too short for its size")
         pixels = np.zeros((h, w, c), np.uint8)
-        for k, (at, n) in enumerate(zip(tags[TILE_OFFSETS if tiled else STRIP_OFFSETS], tags[TILE_COUNTS if tiled else STRIP_COUNTS], strict=True)):
+        for k, (at, n) in enumerate(parts):
             y, x = k // across * th, k % across * tw
             rows = th if tiled else min(th, h - y)
             block = np.frombuffer(_decode(data[at : at + n], comp, rows * tw * c), np.uint8)[: rows * tw * c].reshape(rows, tw, c)
@@ -279,7 +294,7 @@ def _page_arrays(media: pd.Series) -> pd.Series:
     def of(data: bytes | None) -> list[dict]:
         try:
             return [{**p, "error": None} for p in decode_pages(data or b"")]
-        except (ValueError, KeyError, TypeError, struct.error, zlib.error, IndexError) as e:
+        except (ValueError, ArithmeticError, LookupError, TypeError, MemoryError, struct.error, zlib.error) as e:
             return [{"page": None, "width": None, "height": None, "samples": None, "compression": None, "predictor": None, "pixels": None, "error": str(e)[:200]}]
 
     return media.map(of)
