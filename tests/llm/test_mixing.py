@@ -1,9 +1,10 @@
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tilelake.llm.mixing import MARGINS, mix, sample_documents, topic_of
+from tilelake.llm.mixing import MARGINS, margins, mix, rake, sample_documents, topic_of
 
 TARGETS = {"lang": {"en": 0.3, "de": 0.7}, "topic": {"prose": 0.5, "contact": 0.5}}
 
@@ -29,8 +30,9 @@ def test_margins_are_met(docs):
     assert abs(sum(r.weight * r.n_tokens for r in rows if r.selected) - total) < 3.5 * error
 
 
-def test_distributed_steps_agree(docs):
-    a, b = (sorted(map(repr, mix(docs, topic_of(F.col("text")), TARGETS, rounds=3, max_cells=k).collect())) for k in (100000, 1))
+@pytest.mark.parametrize("rounds", [3, 12])
+def test_distributed_steps_agree(docs, rounds):
+    a, b = (sorted(map(repr, mix(docs, topic_of(F.col("text")), TARGETS, rounds=rounds, max_cells=k).collect())) for k in (100000, 1))
     assert a == b
 
 
@@ -41,3 +43,17 @@ def test_sample_keeps_rows_and_columns(docs, odd_docs):
     assert mix(odd_docs, F.lit("t"), {}).count() == odd_docs.count()
     assert mix(odd_docs.limit(0), F.lit("t"), {}).count() == 0
     assert sample_documents(odd_docs, F.lit("t"), {}, budget=1.0).count() == odd_docs.count()
+
+
+def test_missed_targets_are_told(docs):
+    met = margins(mix(docs, topic_of(F.col("text")), TARGETS, alpha=1.0, budget=0.2), TARGETS, 1.0).collect()
+    assert all(abs(r.gap) < 1e-3 for r in met) and {r.margin for r in met} == set(MARGINS)
+    with pytest.warns(UserWarning, match="from its target"):  # there are not enough German tokens for this
+        rows = margins(mix(docs, topic_of(F.col("text")), {"lang": {"en": 0.05, "de": 0.95}}, alpha=1.0, budget=0.9), {"lang": {"en": 0.05, "de": 0.95}}, 1.0).collect()
+    assert max(abs(r.gap) for r in rows) > 0.02
+
+
+def test_raking_settles_before_its_rounds_end():
+    keys, tokens = [("a", "x", "t"), ("a", "y", "t"), ("b", "x", "t"), ("b", "y", "t")], np.array([5.0, 1.0, 2.0, 8.0])
+    few, many = (rake(keys, tokens, {"lang": {"x": 0.5, "y": 0.5}}, 1.0, 0.1, n) for n in (60, 5000))
+    assert np.abs(few - many).max() < 1e-9

@@ -2,7 +2,9 @@
 
 Tokens are summed per cell (source, language, topic) with map-side sums. Inclusion probabilities per cell start equal and
 are raked: each step scales the cells of a margin so that its expected tokens meet the target, and caps them at 1; the
-steps go round the three margins a fixed number of times. Documents are then drawn by their own hash against their
+steps go round the three margins until no probability changes any more, `rounds` times at most. Where caps or the margins
+themselves contradict the targets, raking can't meet them: margins() gives the expected share, the target and the gap
+of every category, and a warning names the largest gap if it is over `tolerance` of all tokens. Documents are then drawn by their own hash against their
 cell's probability, so the draw needs no shuffle and is the same for every layout of the data; 1 / probability is the
 weight that makes sums over the sample estimate sums over the corpus.
 
@@ -16,6 +18,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
 
 import numpy as np
@@ -51,6 +54,10 @@ def shares(tokens: Mapping[str | None, float], target: Mapping[str, float] | Non
     return {k: v / norm for k, v in raw.items()} if norm else raw
 
 
+#: Below what is seen after rounding to six places.
+SETTLED = 1e-12
+
+
 def rake(keys: list[tuple], tokens: np.ndarray, targets: Targets, alpha: float, budget: float, rounds: int) -> np.ndarray:
     """Probability of each cell."""
     p = np.full(len(keys), budget)
@@ -63,9 +70,12 @@ def rake(keys: list[tuple], tokens: np.ndarray, targets: Targets, alpha: float,
         aims.append(np.array([share[c] for c in cats]) * budget * tokens.sum())
         codes.append(code)
     for _ in range(rounds):
+        last = p
         for code, aim in zip(codes, aims, strict=True):
             now = np.bincount(code, tokens * p, len(aim))
             p = np.minimum(1.0, p * np.divide(aim, now, out=np.ones(len(aim)), where=now > 0)[code])
+        if np.abs(p - last).max(initial=0.0) < SETTLED:
+            break
     return p
 
 
@@ -87,14 +97,19 @@ def rake_distributed(cells: DataFrame, targets: Targets, alpha: float, budget: f
         aim_path = scratch_path(spark, "aims")
         aims[name] = write_table(share.select(F.col(name).alias("cat"), (F.col("raw") / norm * budget * total).alias("aim")), aim_path)
     for _ in range(rounds):
+        before = now
         for name in MARGINS:
             sums = now.groupBy(F.col(name).alias("cat")).agg(F.sum(F.col("tokens") * F.col("p")).alias("now"))
             scale = aims[name].join(sums, aims[name]["cat"].eqNullSafe(sums["cat"])).select(aims[name]["cat"].alias("cat"), F.when(F.col("now") > 0, F.col("aim") / F.col("now")).otherwise(1.0).alias("f"))
             now = now.join(scale, now[name].eqNullSafe(scale["cat"])).select(*MARGINS, "tokens", F.least(F.lit(1.0), F.col("p") * F.col("f")).alias("p"))
         next_path = scratch_path(spark, "cells")
         now = write_table(now, next_path)
+        at = lambda df: F.struct(*[df[m] for m in MARGINS])
+        moved = now.join(before.withColumnRenamed("p", "q"), at(now).eqNullSafe(at(before))).agg(F.max(F.abs(F.col("p") - F.col("q")))).head()[0]
         delete_path(spark, path)
         path = next_path
+        if moved is None or moved < SETTLED:
+            break
     return now
 
 
@@ -110,6 +125,29 @@ def probabilities(rows: DataFrame, targets: Targets, alpha: float, budget: float
     return spark.createDataFrame([(*k, float(x)) for k, x in zip(keys, p, strict=True)], "source string, lang string, topic string, p double"), True
 
 
+def margins(mixed: DataFrame, targets: Targets, alpha: float, tolerance: float = 0.02) -> DataFrame:
+    """margin, category, tokens, expected (after the draw), share (of expected), target and gap for every category of mix()'s rows."""
+    expected = F.sum(F.col("n_tokens") * F.col("probability"))
+    cells = write_table(mixed.groupBy(*MARGINS).agg(F.sum("n_tokens").alias("tokens"), expected.alias("expected")), scratch_path(mixed.sparkSession, "margins"))
+    total, drawn = cells.agg(F.sum("tokens"), F.sum("expected")).head()
+    out = None
+    for name in MARGINS:
+        each = cells.groupBy(F.col(name).alias("category")).agg(F.sum("tokens").alias("tokens"), F.sum("expected").alias("expected"))
+        raw = F.when(F.col("tokens") > 0, F.pow(F.col("tokens") / F.lit(float(total or 1)), F.lit(alpha))).otherwise(0.0)
+        if given := targets.get(name):
+            listed = F.create_map(*[F.lit(x) for kv in given.items() for x in kv])
+            raw = F.coalesce(F.when(F.col("category").isNotNull(), F.try_element_at(listed, F.col("category"))), raw)
+        each = each.withColumn("raw", raw)
+        norm = each.agg(F.sum("raw")).head()[0] or 1.0
+        each = each.select(F.lit(name).alias("margin"), "category", "tokens", "expected", (F.col("expected") / F.lit(float(drawn or 1))).alias("share"), (F.col("raw") / norm).alias("target"))
+        out = each if out is None else out.unionByName(each)
+    out = out.withColumn("gap", F.col("share") - F.col("target"))
+    worst = out.agg(F.max_by(F.struct("margin", "category", "gap"), F.abs("gap"))).head()[0]
+    if worst is not None and abs(worst.gap) > tolerance:
+        warnings.warn(f"raking leaves {worst.margin} {worst.category} {worst.gap:+.3f} from its target share", stacklevel=2)
+    return out
+
+
 def _matched(rows: DataFrame, cells: DataFrame, small: bool, names: list[str]) -> tuple[DataFrame, str]:
     """rows with the probability of their cell, and that column's name; names: the columns of rows that hold the margins."""
     *cols, p = fresh(rows, "mix_c0", "mix_c1", "mix_c2", "mix_p")
