@@ -12,12 +12,10 @@ repeated rows are scored each; an empty table gives an empty result; texts are r
 
 from __future__ import annotations
 
-import operator
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,7 +35,8 @@ FUNCTION_WORDS = frozenset(
 )
 _DECORATED = re.compile(r"([^\w\s.,;:'\"-])\1{2}")
 _CLASSES = re.compile(r"([a-zß-ÿ]+)|([A-ZÀ-Þ]+)|([0-9]+)")
-_CACHE_WORDS = 400_000
+_SHOUT = re.compile(r"[!?]{2}")
+_CACHE_WORDS = 200_000  # about 40 MB
 SHORT = 8  # words
 
 
@@ -46,63 +45,91 @@ def shape(word: str) -> str:
     return _CLASSES.sub(lambda m: "a" if m[1] else "A" if m[2] else "0", word[:64])[:12]
 
 
+_PLAIN = re.compile(r"[a-zß-öø-ÿ]+")
+_PLAIN_SHAPE = zlib.crc32(b"sa") % HASHED
+_WORD = ["shape", "short", "letters", "capitals", "symbols", "decorated", "shouting", "function", "chars", "separator"]
+
+
 class _Words:
-    """What a word adds, kept for words seen before in this worker: (feature indices, letters, capitals, symbols, decorated, shouting, function word)."""
+    """Numbers for words, with a row of what each word adds (_WORD), for words seen lately in this worker."""
 
     def __init__(self) -> None:
-        self.known: dict[str, tuple] = {}
-
-    def __call__(self, w: str) -> tuple:
-        got = self.known.get(w)
-        if got is None:
-            if len(self.known) >= _CACHE_WORDS:
-                self.known.clear()
-            idx = [zlib.crc32(b"s" + shape(w).encode()) % HASHED]
-            if len(w) <= 4:
-                idx.append(zlib.crc32(b"w" + w.lower().encode()) % HASHED)
-            letters = sum(c.isalpha() for c in w)
-            bare = w.strip(".,;:!?\"'()").lower()
-            got = (idx, letters, sum(c.isupper() for c in w), len(w) - letters - sum(c.isdigit() for c in w), bool(_DECORATED.search(w)), "!!" in w, bare in FUNCTION_WORDS)
-            self.known[w] = got
-        return got
-
-
-def votes_and_features(text: str | None, words: _Words) -> tuple[list[int], list[int], list[float]]:
-    run = (text or "").split()
-    counts = Counter(run)
-    n = sum(counts.values())
-    if not n:
-        return [ABSTAIN] * len(LABELLERS), [], []
-    letters = capitals = symbols = decorated = shouting = function = bars = chars = 0
-    feats: dict[int, int] = {}
-    for w, k in counts.items():
-        idx, a, b, c, d, e, f = words(w)
-        letters += a * k
-        capitals += b * k
-        symbols += c * k
-        decorated += d * k
-        shouting += e * k
-        function += f * k
-        chars += len(w) * k
-        bars += (w == "|") * k
-        for i in idx:
-            feats[i] = feats.get(i, 0) + k
-    few = n < SHORT
-    stutter = sum(map(operator.eq, run, islice(run, 1, None))) / n
-    lines = [x for x in (text or "").split("\n") if len(x) > 20]
-    again = 1 - len(set(lines)) / len(lines) if lines else 0.0
-
-    def fault(value: float, bad_from: float, sure_when_short: bool = False) -> int:
-        return BAD if value >= bad_from and (sure_when_short or not few) else ABSTAIN
-
-    v = [
-        fault(decorated / n, 0.15, True), fault(capitals / max(letters, 1), 0.4), fault(shouting / n, 0.15), fault(bars / n, 0.15), fault(symbols / chars, 0.3),
-        fault(again, 0.6) if len(lines) > 4 else ABSTAIN, ABSTAIN if n < 30 else GOOD if function / n >= 0.08 and stutter < 0.05 else BAD if function / n < 0.005 else ABSTAIN,
-        fault(max(counts.values()) / n, 0.25), fault(stutter, 0.2),
-    ]
-    extra = {_STUTTER: stutter, _AGAIN: again}
-    idx = sorted(feats) + sorted(extra)
-    return v, idx, [float(feats[i] / n) for i in idx[:-2]] + [float(extra[i]) for i in idx[-2:]]
+        self.known: dict[str, int] = {}
+        self.rows = np.zeros((1 << 12, len(_WORD)), np.int32)
+
+    def _row(self, w: str) -> tuple:
+        if len(w) > 4 and _PLAIN.fullmatch(w):  # most words
+            return (_PLAIN_SHAPE, -1, len(w), 0, 0, 0, 0, w in FUNCTION_WORDS, len(w), 0)
+        letters = sum(map(str.isalpha, w))
+        short = zlib.crc32(b"w" + w.lower().encode()) % HASHED if len(w) <= 4 else -1
+        return (
+            zlib.crc32(b"s" + shape(w).encode()) % HASHED, short, letters, sum(map(str.isupper, w)), len(w) - letters - sum(map(str.isdigit, w)), bool(_DECORATED.search(w)),
+            bool(_SHOUT.search(w)), w.strip(".,;:!?\"'()").lower() in FUNCTION_WORDS, len(w), not any(map(str.isalnum, w)),
+        )
+
+    def __call__(self, words: list[str]) -> np.ndarray:
+        if len(self.known) > _CACHE_WORDS:
+            self.__init__()
+        known = self.known
+        if new := list(set(words).difference(known)):
+            at = len(known)
+            while at + len(new) > len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[at : at + len(new)] = list(map(self._row, new))
+            known.update(zip(new, range(at, at + len(new)), strict=True))
+        return np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+
+
+def votes_and_features(texts: list[str | None], words: _Words) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+    """For each text its number of words, its votes, and its features as sorted indices and values."""
+    runs = [(t or "").split() for t in texts]
+    count = np.array([len(r) for r in runs], np.int64)
+    n, docs = np.maximum(count, 1), np.repeat(np.arange(len(runs)), count)
+    ids = words(list(chain.from_iterable(runs)))
+    row = words.rows
+    pairs, times = np.unique(docs * len(row) + ids, return_counts=True)  # distinct words of each text
+    doc, word = pairs // len(row), pairs % len(row)
+    total = {c: np.bincount(doc, times * row[word, j], len(runs)) for j, c in enumerate(_WORD) if j > 1}
+    most = np.zeros(len(runs), np.int64)
+    np.maximum.at(most, doc, times)
+    stutter = np.bincount(docs[1:], (ids[1:] == ids[:-1]) & (docs[1:] == docs[:-1]), len(runs)) / n
+    again, lines = np.zeros(len(runs)), np.zeros(len(runs), np.int64)
+    for i, t in enumerate(texts):
+        if t and "\n" in t:
+            long = [x for x in t.split("\n") if len(x) > 20]
+            lines[i], again[i] = len(long), 1 - len(set(long)) / len(long) if long else 0.0
+    few, any_ = count < SHORT, count > 0
+
+    def fault(value: np.ndarray, bad_from: float, sure_when_short: bool = False) -> np.ndarray:
+        return np.where((value >= bad_from) & any_ & (~few | sure_when_short), BAD, ABSTAIN)
+
+    function = total["function"] / n
+    votes = np.stack([
+        fault(total["decorated"] / n, 0.15, True), fault(total["capitals"] / np.maximum(total["letters"], 1), 0.4), fault(total["shouting"] / n, 0.15), fault(total["separator"] / n, 0.15),
+        fault(total["symbols"] / np.maximum(total["chars"], 1), 0.3), np.where(lines > 4, fault(again, 0.6), ABSTAIN),
+        np.where(count < 30, ABSTAIN, np.where((function >= 0.08) & (stutter < 0.05), GOOD, np.where(function < 0.005, BAD, ABSTAIN))), fault(most / n, 0.25), fault(stutter, 0.2),
+    ], axis=1).astype(np.uint8)
+    has = row[word, 1] >= 0
+    keys, at = np.unique(np.concatenate([doc * DIMS + row[word, 0], doc[has] * DIMS + row[word[has], 1]]), return_inverse=True)
+    value = np.bincount(at, np.concatenate([times, times[has]]), len(keys)) / n[keys // DIMS]
+    own = np.flatnonzero(any_)
+    keys = np.concatenate([keys, own * DIMS + _STUTTER, own * DIMS + _AGAIN])
+    value = np.concatenate([value, stutter[own], again[own]]).astype(np.float32)
+    order = np.argsort(keys, kind="stable")
+    cut = np.searchsorted(keys[order], np.arange(1, len(runs)) * DIMS)
+    return count, votes, np.split((keys[order] % DIMS).astype(np.int32), cut), np.split(value[order], cut)
+
+
+def _slices(texts: pd.Series, size: int = 1 << 19) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about size characters."""
+    at = held = 0
+    for i, t in enumerate(texts):
+        held += len(t or "")
+        if held >= size:
+            yield at, i + 1
+            at, held = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def describe(docs: DataFrame) -> DataFrame:
@@ -112,8 +139,9 @@ def describe(docs: DataFrame) -> DataFrame:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = _Words()
         for df in frames:
-            got = [votes_and_features(t, words) for t in df["text"]]
-            yield pd.DataFrame({"doc_id": df["doc_id"], "n_words": [len((t or "").split()) for t in df["text"]], "votes": [bytes(v) for v, _, _ in got], "idx": [i for _, i, _ in got], "val": [x for _, _, x in got]})
+            for i, j in _slices(df["text"]):
+                n, votes, idx, val = votes_and_features(df["text"].iloc[i:j].tolist(), words)
+                yield pd.DataFrame({"doc_id": df["doc_id"].iloc[i:j].to_numpy(), "n_words": n, "votes": [v.tobytes() for v in votes], "idx": idx, "val": val})
 
     ids = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {ids}, n_words long, votes binary, idx array<int>, val array<float>")
