@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from xml.dom import minidom
+from xml.parsers.expat import ExpatError
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,9 +31,23 @@ def mpp_from_property(props: Column) -> Column:
     return _number(_prop(props, P_MPP))
 
 
+def _physical_size(xml: str | None) -> str | None:
+    """PhysicalSizeX of the first Pixels within the first Image; null for text that is no XML or lacks them."""
+    if not xml:
+        return None
+    try:
+        images = minidom.parseString(xml).documentElement.getElementsByTagName("Image")
+        pixels = images[0].getElementsByTagName("Pixels") if images else []
+        return pixels[0].getAttribute("PhysicalSizeX") if pixels else None
+    except (ExpatError, ValueError):
+        return None
+
+
 def mpp_from_description(props: Column) -> Column:
-    """PhysicalSizeX of the first Pixels element in the XML description; anything unreadable is null."""
-    return _number(F.regexp_extract(_prop(props, P_DESCRIPTION), r"""<Image\b[\s\S]*?<Pixels\b[^>]*?\bPhysicalSizeX\s*=\s*["']([^"']*)["']""", 1))
+    """From the XML description, which is parsed; anything unreadable is null. There is one header per slide."""
+    parse = F.pandas_udf(lambda x: x.map(_physical_size).astype(object), "string")
+    parse.func.__annotations__ = {"x": pd.Series, "return": pd.Series}
+    return _number(parse(_prop(props, P_DESCRIPTION)))
 
 
 def mpp_from_comment(props: Column) -> Column:
@@ -37,7 +55,8 @@ def mpp_from_comment(props: Column) -> Column:
 
 
 def mpp_from_resolution(props: Column) -> Column:
-    x = _number(_prop(props, P_XRES))
+    """Needs both resolutions; x is used."""
+    x = F.when(_number(_prop(props, P_YRES)).isNotNull(), _number(_prop(props, P_XRES)))
     return F.when(_prop(props, P_UNIT) == "centimeter", 10000.0 / x).when(_prop(props, P_UNIT) == "inch", 25400.0 / x)
 
 

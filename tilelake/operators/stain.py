@@ -61,20 +61,21 @@ def principal_axes(moments: DataFrame) -> DataFrame:
     return out
 
 
-def _percentile(value: Column, q: float | list[float], exact: bool) -> Column:
-    """Weighted by n. Exact: linear interpolation. Approximate: a sketch's actual element, of relative rank error 1e-4."""
-    if exact:
-        return F.percentile(value, q, F.col("n"))
-    return F.percentile_approx(value, q, 10000)
+#: Steps of one that approximate percentiles tell apart.
+GRID = 4096
+
+
+def percentile(value: Column, q: float | list[float], exact: bool = True) -> Column:
+    """Weighted by the column n, with linear interpolation. Approximate: of values rounded to 1 / GRID, so the error is at most
+    half a step and a group holds no more values than its range has steps."""
+    return F.percentile(value if exact else F.round(value * GRID) / GRID, q, F.col("n"))
 
 
 def _angles(hist: DataFrame, axes: DataFrame, key: str, alpha: float, io: float, beta: float, exact: bool) -> DataFrame:
     od = hist.withColumns(od_columns(io)).where(is_tissue(beta)).join(axes, key)
     x, y = (sum((F.col(o) * F.col(f"{name}_{c}") for o, c in zip(OD, CHANNELS, strict=True)), F.lit(0.0)) for name in ("mid", "top"))
     rows = od.select(key, F.atan2(y, x).alias("phi"), "n")
-    if not exact:
-        rows = rows.select(key, "phi", F.explode(F.array_repeat(F.lit(1).cast("long"), F.col("n").cast("int"))).alias("n"))
-    return rows.groupBy(key).agg(_percentile(F.col("phi"), [alpha / 100, 1 - alpha / 100], exact).alias("phi"))
+    return rows.groupBy(key).agg(percentile(F.col("phi"), [alpha / 100, 1 - alpha / 100], exact).alias("phi"))
 
 
 def stain_vectors(hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA, exact: bool = True) -> DataFrame:
@@ -97,9 +98,7 @@ def concentrations(hist: DataFrame, vectors: DataFrame, key: str = "slide_id", i
 
 
 def max_concentrations(conc: DataFrame, key: str = "slide_id", exact: bool = True) -> DataFrame:
-    if not exact:
-        conc = conc.select(key, "c_h", "c_e", F.explode(F.array_repeat(F.lit(1).cast("long"), F.col("n").cast("int"))).alias("n"))
-    return conc.groupBy(key).agg(_percentile(F.col("c_h"), 0.99, exact).alias("maxc_h"), _percentile(F.col("c_e"), 0.99, exact).alias("maxc_e"))
+    return conc.groupBy(key).agg(percentile(F.col("c_h"), 0.99, exact).alias("maxc_h"), percentile(F.col("c_e"), 0.99, exact).alias("maxc_e"))
 
 
 @dataclass(frozen=True)
@@ -112,18 +111,22 @@ class StainModel:
 
     def lut(self, hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA) -> DataFrame:
         """(key, r, g, b, n) -> nr, ng, nb and normalised: the colour table of each slide."""
-        vectors = _kept(stain_vectors(hist, key, io, beta, alpha, self.exact))
-        conc = concentrations(hist, vectors, key, io)
-        rows = conc.join(max_concentrations(conc, key, self.exact), key, "left")
+        hist = _kept(hist)
+        return self._recolour(hist, stain_statistics(hist, key, io, beta, alpha, self.exact), key, io)
+
+    def _recolour(self, rows: DataFrame, statistics: DataFrame, key: str, io: float) -> DataFrame:
+        """rows(key, r, g, b, ...) with nr, ng, nb and normalised, from the eight numbers of their slide."""
+        wide = rows.withColumns(od_columns(io)).join(statistics.select(key, *HE, "maxc_h", "maxc_e"), key, "left")
+        c_h, c_e = solve_two(*([F.col(c) for c in cols] for cols in (HE[:3], HE[3:], OD)))
+        wide = wide.withColumns({"c_h": c_h, "c_e": c_e})
         ok = (F.col("maxc_h") > 0) & (F.col("maxc_e") > 0) & F.col("c_h").isNotNull()
         c1, c2 = F.try_divide("c_h", F.col("maxc_h") / F.lit(self.maxc[0])), F.try_divide("c_e", F.col("maxc_e") / F.lit(self.maxc[1]))
         new = [F.coalesce(F.when(ok, F.least(F.lit(255.0), io * F.exp(-(self.he[k][0] * c1 + self.he[k][1] * c2))).cast("int")), F.col(c)).alias(f"n{c}") for k, c in enumerate(CHANNELS)]
-        return rows.select(key, *CHANNELS, "n", *new, F.coalesce(ok, F.lit(False)).alias("normalised"))
+        return wide.select(*rows.columns, *new, F.coalesce(ok, F.lit(False)).alias("normalised"))
 
-    def transform(self, pixels: DataFrame, key: str = "slide_id", **options: float) -> DataFrame:
-        """pixels with nr, ng, nb: the colour table joined back by (key, r, g, b)."""
-        lut = self.lut(color_histogram(pixels, key), key, **options).drop("n")
-        return pixels.join(lut, [key, *CHANNELS])
+    def transform(self, pixels: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA) -> DataFrame:
+        """pixels with nr, ng, nb and normalised. Colours are counted for the statistics; the pixels themselves meet only one row per slide."""
+        return self._recolour(pixels, stain_statistics(_kept(color_histogram(pixels, key)), key, io, beta, alpha, self.exact), key, io)
 
 
 def stain_statistics(hist: DataFrame, key: str = "slide_id", io: float = IO, beta: float = BETA, alpha: float = ALPHA, exact: bool = True) -> DataFrame:

@@ -67,10 +67,10 @@ def od_percentiles_exact(spark: SparkSession, d: str) -> DataFrame:
     return h.groupBy("slide_id").agg(*[_r(F.percentile(color.optical_density(F.col(c)), q / 100, F.col("n"))).alias(f"{c}_p{q}") for c in "rgb" for q in (1, 99)])
 
 
-@_query()
+@_query(o.OD_PERCENTILES_APPROX)
 def od_percentiles_approx(spark: SparkSession, d: str) -> DataFrame:
-    p = fixtures.pixels(spark, d).withColumns(color.od_columns())
-    return p.groupBy("slide_id").agg(*[F.percentile_approx(c, 0.99, 10000).alias(f"{c}_p99") for c in stain.OD])
+    h = _hist(spark, d).withColumns(color.od_columns())
+    return h.groupBy("slide_id").agg(*[_r(stain.percentile(F.col(c), 0.99, exact=False)).alias(f"{c}_p99") for c in stain.OD])
 
 
 @_query(o.stain("axes"))
@@ -85,9 +85,10 @@ def stain_matrix(spark: SparkSession, d: str) -> DataFrame:
     return v.select("slide_id", F.col("n_tissue").cast("long").alias("n_tissue"), *[_r(c).alias(c) for c in stain.HE])
 
 
-@_query()
+@_query(o.stain("vectors", exact=False))
 def stain_matrix_approx(spark: SparkSession, d: str) -> DataFrame:
-    return stain.stain_vectors(_hist(spark, d), exact=False)
+    v = stain.stain_vectors(_hist(spark, d), exact=False)
+    return v.select("slide_id", F.col("n_tissue").cast("long").alias("n_tissue"), *[_r(c).alias(c) for c in stain.HE])
 
 
 @_query(o.stain("conc"))
@@ -227,16 +228,16 @@ def gradient_magnitude(spark: SparkSession, d: str) -> DataFrame:
     return p.mapInArrow(run, "slide_id int, patch_id long, pos int, magnitude int")
 
 
-@_query()
+@_query(o.CANNY)
 def foreground_mask(spark: SparkSession, d: str) -> DataFrame:
     return foreground.foreground_mask(fixtures.packed(spark, d), patch=8).select("slide_id", "patch_id", "edge_px", "is_foreground")
 
 
-@_query()
+@_query(o.RESAMPLE)
 def resample(spark: SparkSession, d: str) -> DataFrame:
     """Packed 8 x 8 patches as tiles, resampled to 2 x 2 patches of 6 pixels."""
     t = fixtures.packed(spark, d).select(F.col("slide_id").cast("string").alias("slide_id"), F.floor(F.col("patch_id") / 16).cast("int").alias("tile_y"), (F.col("patch_id") % 16).cast("int").alias("tile_x"), F.lit(8).alias("height"), F.lit(8).alias("width"), F.col("rgb").alias("data"), F.lit(None).cast("string").alias("error"))
-    return raster.tiles_to_patches(t, patch=6, per_side=2)
+    return raster.tiles_to_patches(t, patch=6, per_side=2).select("slide_id", "row", "col", "x", "y", F.hex("rgb").alias("rgb"), F.col("error").isNull().alias("ok"))
 
 
 @_query()

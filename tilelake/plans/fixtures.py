@@ -46,5 +46,9 @@ MPP_CASES = [
     ("inch", {"tiff.XResolution": "50800", "tiff.YResolution": "50900", "tiff.ResolutionUnit": "inch"}),
     ("unknown unit", {"tiff.XResolution": "50800", "tiff.YResolution": "50800", "tiff.ResolutionUnit": "none"}),
     ("broken xml", {"tiff.ImageDescription": "<OME><Image"}),
+    ("no y resolution", {"tiff.XResolution": "20000", "tiff.ResolutionUnit": "centimeter"}),
+    ("unclosed element, comment", {"tiff.ImageDescription": '<OME><Image><Pixels PhysicalSizeX="0.5"></Image></OME>', "openslide.comment": "<PixelSizeMicrons>0.25</PixelSizeMicrons>"}),
+    ("second image only", {"tiff.ImageDescription": '<OME><Image ID="1"/><Image><Pixels PhysicalSizeX="0.5"/></Image></OME>'}),
+    ("attribute elsewhere", {"tiff.ImageDescription": '<OME><Plate PhysicalSizeX="3"/><Image><Note/><Pixels A="b>c" PhysicalSizeX="0.75"/></Image></OME>'}),
     ("nothing", {"other": "1"}),
 ]

@@ -21,6 +21,7 @@ _COV = [("c_rr", "r", "r"), ("c_rg", "r", "g"), ("c_rb", "r", "b"), ("c_gg", "g"
 OD_TISSUE_STATS = f"WITH {PX}, {OD}, {TISSUE} SELECT slide_id, count(*) AS n_tissue, " + ", ".join(f"round(avg(o{c}), 6) AS mean_od_{c}" for c in "rgb") + ", " + ", ".join(f"round(covar_samp(o{a}, o{b}), 8) AS {n}" for n, a, b in _COV) + " FROM tis GROUP BY slide_id"
 COLOR_HISTOGRAM = f"WITH {PX} SELECT slide_id, r, g, b, count(*) AS n FROM px GROUP BY ALL"
 OD_PERCENTILES = f"WITH {PX}, {OD} SELECT slide_id, " + ", ".join(f"round(quantile_cont(o{c}, {q / 100}), 6) AS {c}_p{q}" for c in "rgb" for q in (1, 99)) + " FROM od GROUP BY slide_id"
+OD_PERCENTILES_APPROX = f"WITH {PX}, {OD} SELECT slide_id, " + ", ".join(f"round(quantile_cont(round(\"o{c}\" * 4096) / 4096, 0.99), 6) AS od_{c}_p99" for c in "rgb") + " FROM od GROUP BY slide_id"
 LINEITEM_PERCENTILES = (
     "WITH px AS (SELECT CAST(floor(l_quantity * 5) AS INT) AS r, CAST(floor(round(l_discount * 100) * 25) AS INT) AS g, CAST(floor(round(l_tax * 100) * 31) AS INT) AS b FROM lineitem), "
     + OD + " SELECT " + ", ".join(f"round(quantile_cont(o{c}, {q / 100}), 6) AS {c}_p{q}" for c in "rgb" for q in (1, 50, 99)) + ", count(*) AS n FROM od"
@@ -55,13 +56,14 @@ def _quoted(sql: str) -> str:
     return re.sub(r'"or"|\bor\b(?=\s*[*,)>+\-/<]|\s+AS\b|\s*FROM)', "o_red", sql)
 
 
-def stain(what: str) -> str:
+def stain(what: str, exact: bool = True) -> str:
+    phi = "phi" if exact else "round(phi * 4096) / 4096"
     dot = lambda p: f'(o_red * {p}r + og * {p}g + ob * {p}b)'
     parts = [PX, "od AS (SELECT *, -ln((r + 1) / 240e0) AS o_red, -ln((g + 1) / 240e0) AS og, -ln((b + 1) / 240e0) AS ob FROM px)", "tis AS (SELECT * FROM od WHERE o_red >= 0.15e0 AND og >= 0.15e0 AND ob >= 0.15e0)"]
     parts.append(_quoted(_axes("tis")))
     if what == "axes":
         return "WITH " + ",".join(parts) + " SELECT slide_id, round(l_low, 8) AS l_low, round(l_mid, 8) AS l_mid, round(l_top, 8) AS l_top FROM ax"
-    parts.append(f"ph AS (SELECT slide_id, quantile_cont(phi, 0.01) AS p0, quantile_cont(phi, 0.99) AS p1 FROM (SELECT slide_id, atan2({dot('t')}, {dot('m')}) AS phi FROM tis JOIN ax USING (slide_id)) GROUP BY slide_id)")
+    parts.append(f"ph AS (SELECT slide_id, quantile_cont({phi}, 0.01) AS p0, quantile_cont({phi}, 0.99) AS p1 FROM (SELECT slide_id, atan2({dot('t')}, {dot('m')}) AS phi FROM tis JOIN ax USING (slide_id)) GROUP BY slide_id)")
     parts.append("vv AS (SELECT slide_id, n_tissue, " + ", ".join(f"m{c} * cos(p{k}) + t{c} * sin(p{k}) AS v{k}{c}" for k in (0, 1) for c in "rgb") + " FROM ax JOIN ph USING (slide_id))")
     parts.append("he AS (SELECT slide_id, n_tissue, " + ", ".join(f"CASE WHEN v0r > v1r THEN v{k}{c} ELSE v{1 - k}{c} END AS he_{c}{k + 1}" for k in (0, 1) for c in "rgb") + " FROM vv)")
     he = [f"he_{c}{k}" for k in (1, 2) for c in "rgb"]
@@ -157,6 +159,55 @@ SELECT slide_id, patch_id, CAST(pos AS INT) AS pos, CAST(max(m) AS INT) AS magni
 GRADIENT = _gradient()
 
 
+def _canny() -> str:
+    """Edges of the packed patches: thinning by lists, hysteresis by recursion from strong pixels to weak neighbours."""
+    at = lambda y, x: f"v[greatest(0, least(7, y + ({y}))) * 8 + greatest(0, least(7, x + ({x}))) + 1]"
+    dx = " + ".join(f"{w} * ({at(y, 1)} - {at(y, -1)})" for y, w in ((-1, 1), (0, 2), (1, 1)))
+    dy = " + ".join(f"{w} * ({at(1, x)} - {at(-1, x)})" for x, w in ((-1, 1), (0, 2), (1, 1)))
+    near = lambda y, x: f"(CASE WHEN y + ({y}) BETWEEN 0 AND 7 AND x + ({x}) BETWEEN 0 AND 7 THEN ms[(y + ({y})) * 8 + x + ({x}) + 1] ELSE 0 END)"
+    return f"""
+WITH RECURSIVE {PX},
+ch AS (SELECT slide_id, patch_id, pos, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS s FROM px),
+im AS (SELECT slide_id, patch_id, c, list(s ORDER BY pos) AS v FROM ch GROUP BY ALL),
+gr AS (SELECT slide_id, patch_id, c, y, x, {dx} AS dx, {dy} AS dy FROM im, range(8) a(y), range(8) b(x)),
+st AS (SELECT *, abs(dx) + abs(dy) AS m FROM gr QUALIFY row_number() OVER (PARTITION BY slide_id, patch_id, y, x ORDER BY abs(dx) + abs(dy) DESC, c) = 1),
+ml AS (SELECT slide_id, patch_id, list(m ORDER BY y * 8 + x) AS ms FROM st GROUP BY ALL),
+wk AS (SELECT slide_id, patch_id, y, x, m FROM st JOIN ml USING (slide_id, patch_id)
+  WHERE m > 40 AND CASE
+    WHEN abs(dy) * 32768 < abs(dx) * 13573 THEN m > {near(0, -1)} AND m >= {near(0, 1)}
+    WHEN abs(dy) * 32768 > abs(dx) * 13573 + abs(dx) * 65536 THEN m > {near(-1, 0)} AND m >= {near(1, 0)}
+    WHEN (dx < 0) <> (dy < 0) THEN m > {near(-1, 1)} AND m > {near(1, -1)}
+    ELSE m > {near(-1, -1)} AND m > {near(1, 1)} END),
+ed AS (
+  SELECT slide_id, patch_id, y, x FROM wk WHERE m > 100
+  UNION
+  SELECT wk.slide_id, wk.patch_id, wk.y, wk.x FROM ed JOIN wk ON ed.slide_id = wk.slide_id AND ed.patch_id = wk.patch_id AND abs(ed.y - wk.y) <= 1 AND abs(ed.x - wk.x) <= 1),
+n AS (SELECT slide_id, patch_id, count(*) AS k FROM ed GROUP BY ALL)
+SELECT slide_id, patch_id, CAST(coalesce(k, 0) AS INT) AS edge_px, NOT (coalesce(k, 0) * 100e0 / 192 < 2) AS is_foreground FROM ml LEFT JOIN n USING (slide_id, patch_id)"""
+
+
+CANNY = _canny()
+
+
+def _resample() -> str:
+    """8 x 8 tiles to 12 x 12 in single precision, cut into patches of 6."""
+    at = "((i + 0.5e0) * 8 / 12 - 0.5e0)"
+    mixed = lambda a, b, f: f"({a}) * (CAST(1 AS FLOAT) - {f}) + ({b}) * {f}"
+    v = lambda y, x: f"CAST(v[{y} * 8 + {x} + 1] AS FLOAT)"
+    row = lambda x: mixed(v("a.lo", x), v("a.hi", x), "a.f")
+    return f"""
+WITH {PX},
+ch AS (SELECT slide_id, patch_id, pos, unnest([0, 1, 2]) AS c, unnest([r, g, b]) AS s FROM px),
+im AS (SELECT slide_id, patch_id, c, list(s ORDER BY pos) AS v FROM ch GROUP BY ALL),
+ax AS (SELECT CAST(i AS INT) AS i, greatest(0, least(7, CAST(floor({at}) AS INT))) AS lo, greatest(0, least(7, CAST(floor({at}) AS INT) + 1)) AS hi, CAST({at} - floor({at}) AS FLOAT) AS f FROM range(12) t(i)),
+o AS (SELECT slide_id, patch_id, c, a.i AS oy, b.i AS ox, CAST(round_even({mixed(row("b.lo"), row("b.hi"), "b.f")}, 0) AS INT) AS s FROM im, ax a, ax b),
+p AS (SELECT slide_id, CAST(patch_id // 16 * 2 + oy // 6 AS INT) AS "row", CAST(patch_id % 16 * 2 + ox // 6 AS INT) AS col, oy % 6 * 18 + ox % 6 * 3 + c AS k, s FROM o)
+SELECT CAST(slide_id AS VARCHAR) AS slide_id, "row", col, col * 6 AS x, "row" * 6 AS y, upper(string_agg(lpad(to_hex(s), 2, '0'), '' ORDER BY k)) AS rgb, true AS ok FROM p GROUP BY ALL"""
+
+
+RESAMPLE = _resample()
+
+
 def _text(x: str | None) -> str:
     return "NULL" if x is None else "'" + x.replace("'", "''") + "'"
 
@@ -165,11 +216,15 @@ def _mpp() -> str:
     keys = ["openslide.mpp-x", "tiff.ImageDescription", "openslide.comment", "tiff.XResolution", "tiff.YResolution", "tiff.ResolutionUnit"]
     rows = ", ".join(f"({_text(n)}, " + ", ".join(_text(p.get(k)) for k in keys) + ")" for n, p in MPP_CASES)
     num = lambda e: f"CASE WHEN try_cast({e} AS DOUBLE) > 0 THEN try_cast({e} AS DOUBLE) END"
+    # elements are balanced: as many starts as ends; then the first Pixels of the first Image
+    whole = "len(regexp_extract_all(descr, '<[A-Za-z]')) = len(regexp_extract_all(descr, '</[A-Za-z]')) + len(regexp_extract_all(descr, '/>'))"
+    image = """regexp_extract(descr, '<Image[^>]*/>|<Image.*?</Image>')"""
+    size = f"""regexp_extract(regexp_extract({image}, '<Pixels.*'), 'PhysicalSizeX="([^"]*)"', 1)"""
     return f"""
 WITH c(name, prop, descr, comm, xres, yres, unit) AS (VALUES {rows}),
-m AS (SELECT *, coalesce({num("prop")}, {num("regexp_extract(descr, 'PhysicalSizeX=" + chr(34) + "([^" + chr(34) + "]*)" + chr(34) + "', 1)")},
+m AS (SELECT *, coalesce({num("prop")}, CASE WHEN {whole} THEN {num(size)} END,
   {num("regexp_extract(comm, '<PixelSizeMicrons>(.*?)</PixelSizeMicrons>', 1)")},
-  CASE unit WHEN 'centimeter' THEN 10000 / ({num("xres")}) WHEN 'inch' THEN 25400 / ({num("xres")}) END) AS mpp FROM c)
+  CASE WHEN ({num("yres")}) IS NOT NULL THEN CASE unit WHEN 'centimeter' THEN 10000 / ({num("xres")}) WHEN 'inch' THEN 25400 / ({num("xres")}) END END) AS mpp FROM c)
 SELECT name, round(mpp, 6) AS mpp, CASE WHEN mpp IS NULL THEN 'mpp_extraction_error' ELSE 'ok' END AS status, coalesce(try_cast(xres AS DOUBLE) <> try_cast(yres AS DOUBLE), false) AS differs FROM m"""
 
 
