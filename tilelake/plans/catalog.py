@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,10 +11,10 @@ from pyspark.sql import functions as F
 
 from tilelake.functions import color, metadata
 from tilelake.operators import embed, foreground, raster, sinks, stain
-from tilelake.plans import fixtures
+from tilelake.plans import config, fixtures, preprocess
 from tilelake.plans import oracles as o
 from tilelake.plans.shipping import ship
-from tilelake.sources import tiles
+from tilelake.sources import slides, tiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 _FOUND: dict[str, tuple[Query, str | None]] = {}
@@ -240,9 +242,10 @@ def resample(spark: SparkSession, d: str) -> DataFrame:
     return raster.tiles_to_patches(t, patch=6, per_side=2).select("slide_id", "row", "col", "x", "y", F.hex("rgb").alias("rgb"), F.col("error").isNull().alias("ok"))
 
 
-@_query()
+@_query(o.EMBEDDING)
 def embed_patches(spark: SparkSession, d: str) -> DataFrame:
-    return embed.extract_features(fixtures.packed(spark, d), patch=8).select("slide_id", "patch_id", "embedding")
+    out = embed.extract_features(fixtures.packed(spark, d), patch=8)
+    return out.select("slide_id", "patch_id", F.transform("embedding", lambda x: _r(x.cast("double"), 4)).alias("embedding"))
 
 
 @_query(o.RECONSTRUCT)
@@ -333,6 +336,31 @@ def tile_scan(spark: SparkSession, d: str) -> DataFrame:
     return df.select("level", "tile_y", "tile_x", "height", "width", F.length("data").cast("long").alias("bytes"), F.col("error").isNull().alias("ok"))
 
 
+@_query(o.SLIDE_HEADERS)
+def slide_headers(spark: SparkSession, d: str) -> DataFrame:
+    """Headers, resolution, level and tile of synthetic slides, one without a resolution and one that can't be opened."""
+    found = slides.plan_levels(slides.open_headers(slides.slides_from_paths(spark, [p for p, *_ in o.SLIDES])), 2.0, None, 8)
+    return found.select("path", "mpp", "level", "tile", F.coalesce("status", F.lit("ok")).alias("status"))
+
+
+@_query(o.PROCESS_SLIDES)
+def process_slides(spark: SparkSession, d: str) -> DataFrame:
+    """The whole plan over the same slides: status log, grid, and whether features, patches, normalised patches and coordinates hold the same patches."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tilelake-")
+    out = f"{base.rstrip('/')}/process-{uuid.uuid4().hex}"
+    settings = config.Config(output=config.OutputConfig(path=out), patch_size=8, target_mpp=2.0)
+    preprocess.run(spark, settings, slides.slides_from_paths(spark, [p for p, *_ in o.SLIDES]))
+    grid = sinks.read_results(spark, out, "patch_index_grid")
+    cells = grid.groupBy("slide_id").agg(F.count("*").alias("grid_cells"), F.count_if(F.col("patch_index") >= 0).alias("kept"))
+    for t in ("features", "patches", "normalized_patches", "coords"):
+        cells = cells.join(sinks.read_results(spark, out, t).groupBy("slide_id").agg(F.count("*").alias(t)), "slide_id", "left")
+    agree = F.lit(True)
+    for t in ("features", "patches", "normalized_patches", "coords"):
+        agree = agree & (F.coalesce(t, F.lit(0)) == F.coalesce("kept", F.lit(0)))
+    status = sinks.read_status(spark, out).select("path", "status")
+    return status.join(cells.withColumnRenamed("slide_id", "path"), "path", "left").select("path", "status", F.coalesce("grid_cells", F.lit(0)).alias("grid_cells"), agree.alias("tables_agree"))
+
+
 def queries() -> dict[str, Query]:
     def run(f: Query) -> Query:
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:

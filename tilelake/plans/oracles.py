@@ -251,3 +251,29 @@ TILE_SCAN = """
 WITH l(level, w, h) AS (VALUES (0, 100, 70), (1, 50, 35))
 SELECT level, CAST(y.i AS INT) AS tile_y, CAST(x.i AS INT) AS tile_x, 32 AS height, 32 AS width, CAST(32 * 32 * 3 AS BIGINT) AS bytes, true AS ok
 FROM l, range(4) x(i), range(4) y(i) WHERE x.i * 32 < w AND y.i * 32 < h"""
+
+
+def _embedding() -> str:
+    """Normalised channels of all pixels in single precision, then shares of 576 colour codes."""
+    f = lambda x: f"CAST({x} AS FLOAT)"
+    channels = ", ".join(f"({f(c)} / {f('255')} - {f(repr(m))}) / {f(repr(d))}" for c, m, d in zip("rgb", IMAGENET_MEAN, IMAGENET_STD, strict=True))
+    return f"""
+WITH {PX},
+p AS (SELECT slide_id, patch_id, flatten(list([{channels}] ORDER BY pos)) AS pooled, list((r >> 5) * 72 + (g >> 5) * 9 + b // 29) AS codes FROM px GROUP BY ALL)
+SELECT slide_id, patch_id, list_transform(list_concat(pooled, list_transform(range(576), lambda k: CAST(len(list_filter(codes, lambda c: c = k)) / 64e0 AS FLOAT))), lambda x: round(CAST(x AS DOUBLE), 4)) AS embedding FROM p"""
+
+
+EMBEDDING = _embedding()
+
+#: Slides of the end-to-end queries: URL, width, height, resolution (none: not known).
+SLIDES = [("synthetic://300x200?seed=1&levels=2&mpp=2.0", 300, 200, 2.0), ("synthetic://100x90?seed=2&mpp=1.0", 100, 90, 1.0), ("synthetic://64x64?seed=3", 64, 64, None), ("nowhere.svs", None, None, None)]
+_SLIDES = "s(path, w, h, mpp) AS (VALUES " + ", ".join(f"({_text(p)}, {w or 'NULL'}, {h or 'NULL'}, {f'{m}e0' if m else 'NULL'})" for p, w, h, m in SLIDES) + ")"
+SLIDE_HEADERS = f"""
+WITH {_SLIDES}
+SELECT path, mpp, CASE WHEN mpp IS NOT NULL THEN 0 END AS level, CASE WHEN mpp IS NOT NULL THEN CAST(ceil(128 * 2e0 / mpp) AS INT) END AS tile,
+       CASE WHEN w IS NULL THEN 'load_error' WHEN mpp IS NULL THEN 'mpp_extraction_error' ELSE 'ok' END AS status FROM s"""
+PROCESS_SLIDES = f"""
+WITH {_SLIDES},
+t AS (SELECT path, CAST(ceil(w / ceil(256 / mpp)) * ceil(h / ceil(256 / mpp)) * 256 AS BIGINT) AS patches FROM s WHERE mpp IS NOT NULL)
+SELECT path, CASE WHEN w IS NULL THEN 'load_error' WHEN mpp IS NULL THEN 'mpp_extraction_error' ELSE 'done' END AS status, coalesce(patches, 0) AS grid_cells,
+       true AS tables_agree FROM s LEFT JOIN t USING (path)"""

@@ -92,7 +92,7 @@ def run(spark: SparkSession, config: Config, slides: DataFrame | None = None) ->
     if not paths:
         log.warning("no slides to process")
     model = fit_reference(spark, config)
-    step = config.slides_per_batch or max(1, len(paths))
+    step = config.slides_per_batch or max(1, spark.sparkContext.defaultParallelism // 16)  # a batch's patches are held together
     for i in range(0, len(paths), step):
         run_batch(spark, spark.createDataFrame(paths[i : i + step], "path string, stem string"), config, model)
     return sinks.summary(sinks.read_status(spark, config.output.path))

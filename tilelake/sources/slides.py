@@ -48,7 +48,7 @@ def plan_levels(headers: DataFrame, target_mpp: float = metadata.TARGET_MPP, lev
     """headers with mpp, level, level_clamped, tile, effective_mpp and status (null if fine)."""
     mpp = metadata.mpp(F.col("properties"))
     ds = F.transform("levels", lambda x: x["downsample"])
-    out = headers.withColumn("mpp", mpp).withColumn("proposed", metadata.best_level_for_mpp(ds, F.col("mpp"), F.lit(float(target_mpp))))
+    out = headers.withColumn("mpp", mpp).withColumn("proposed", F.when(F.col("mpp").isNotNull(), metadata.best_level_for_mpp(ds, F.col("mpp"), F.lit(float(target_mpp)))))
     asked = F.lit(level).cast("int")
     out = out.withColumns({"level": metadata.resolve_level(asked, F.col("proposed")), "level_clamped": metadata.level_clamped(asked, F.col("proposed"))})
     level_mpp = F.col("mpp") * F.try_element_at("levels", F.col("level") + 1)["downsample"]
