@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 
 _LATIN = range(0x180)  # lower case of these stays within, but for one that is left out
-_CACHE_BYTES = 72 << 20  # of known pre-tokens in a worker
+_CACHE_BYTES = 32 << 20  # of known pre-tokens in a worker's table, of which there are two
 _ENTRY = 220  # bytes of an entry besides its characters and ids
 
 
@@ -48,7 +48,10 @@ class FastEncoder:
         self.cut = re.compile(cut)
         special = "|".join(re.escape(t["content"]) for t in spec["added_tokens"])
         self.other = re.compile(r"[^\x00-\x1b\x20-\x84\x86-įı-ſ]" + (f"|{special}" if special else ""))
-        self.model, self.table, self.known, self.held = self.full.model, _byte_table(), {}, 0
+        self.model, self.table = self.full.model, _byte_table()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.table)
@@ -60,20 +63,23 @@ class FastEncoder:
         if self.other.search(text):
             return np.array(self.full.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         pieces = self.cut.findall(text.lower() if self.lower else text)
-        known = self.known
         try:
-            return b"".join(map(known.__getitem__, pieces))
+            return b"".join(map(self.known.__getitem__, pieces))
         except KeyError:
-            if self.held > _CACHE_BYTES:
-                known.clear()
-                self.held = 0
-            new = {p: self._piece(p) for p in set(pieces) if p not in known}
-            self.held += sum(_ENTRY + len(p) + len(x) for p, x in new.items())
-            if self.held > 2 * _CACHE_BYTES:  # one text alone has more
-                self.held = _CACHE_BYTES + 1
-                return b"".join([new[p] if p in new else known[p] for p in pieces])
-            known.update(new)
-            return b"".join(map(known.__getitem__, pieces))
+            return self._learn(pieces)
+
+    def _learn(self, pieces: list[str]) -> bytes:
+        """Ids of pieces some of which are not known. A full table becomes the older one, from which pieces in use come back."""
+        if self.held > _CACHE_BYTES:
+            self.older, self.known, self.held = self.known, {}, 0
+        known, older = self.known, self.older
+        new = {p: older.get(p) or self._piece(p) for p in set(pieces).difference(known)}
+        size = _ENTRY * len(new) + sum(map(len, new)) + sum(map(len, new.values()))
+        if size > _CACHE_BYTES:  # one text alone has more
+            return b"".join([new[p] if p in new else known[p] for p in pieces])
+        self.held += size
+        known.update(new)
+        return b"".join(map(known.__getitem__, pieces))
 
 
 _ENCODERS: dict[str, FastEncoder] = {}
