@@ -38,9 +38,8 @@ def test_special_strings(f):
 
 
 @pytest.mark.parametrize("f", FILES)
-def test_bounded_table(f, monkeypatch):
-    monkeypatch.setattr(tokens, "_CACHE_BYTES", 20_000)
-    enc = tokens.FastEncoder(public_tokenizers.path(f))
+def test_bounded_table(f):
+    enc = tokens.FastEncoder(public_tokenizers.path(f), 20_000)
     for i in range(60):
         t = " ".join(f"w{i * j}q" for j in range(200 if i == 30 else 12))
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == PLAIN[f].encode(t, add_special_tokens=False).ids

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import documents, materialize, tidy
-from .tokens import encoder
+from .tokens import CACHE_BYTES, encoder
 
 END_ID = 0
 
@@ -150,12 +150,12 @@ class Placement:
 # --- the operator ------------------------------------------------------------------------------------------------------
 
 
-def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int) -> DataFrame:
+def cut_pieces(docs: DataFrame, vocabulary: str, capacity: int, cache_bytes: int = CACHE_BYTES) -> DataFrame:
     """Pieces with the task that cut them and their number among that task's pieces of the same length."""
 
     @tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc, task, end = encoder(vocabulary), TaskContext.get().partitionId(), struct.pack("<I", END_ID)
+        enc, task, end = encoder(vocabulary, cache_bytes), TaskContext.get().partitionId(), struct.pack("<I", END_ID)
         seen = np.zeros(capacity + 1, np.int64)
         for df in frames:
             rows = []
@@ -195,9 +195,9 @@ def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     return numbered.select(*keep, "number", "before").mapInPandas(run, f"{kinds}, sequence_id long, offset long")
 
 
-def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    return pack_pieces(materialize(cut_pieces(docs, vocabulary, capacity), "pieces"), capacity)
+def pack(docs: DataFrame, vocabulary: str, capacity: int = 2048, cache_bytes: int = CACHE_BYTES) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. cache_bytes: what a worker may hold of known pre-tokens, twice."""
+    return pack_pieces(materialize(cut_pieces(docs, vocabulary, capacity, cache_bytes), "pieces"), capacity)
 
 
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import unicodedata
 import numpy as np
 
 _LATIN = range(0x180)  # lower case of these stays within, but for one that is left out
-_CACHE_BYTES = 32 << 20  # of known pre-tokens in a worker's table, of which there are two
+CACHE_BYTES = 120 << 20  # of known pre-tokens in a worker's table, of which there are two: it changes speed and memory, not ids
 _ENTRY = 220  # bytes of an entry besides its characters and ids
 
 
@@ -33,7 +33,7 @@ def _byte_table() -> dict[int, str]:
 class FastEncoder:
     """bytes of little-endian uint32 ids for texts. path: a byte-level BPE vocabulary file, with or without word ends."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
 
         self.full = Tokenizer.from_file(path)
@@ -51,7 +51,7 @@ class FastEncoder:
         self.model, self.table = self.full.model, _byte_table()
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.held = 0
+        self.held, self.most = 0, cache_bytes
 
     def _piece(self, piece: str) -> bytes:
         shown = piece.encode().decode("latin-1").translate(self.table)
@@ -70,28 +70,29 @@ class FastEncoder:
 
     def _learn(self, pieces: list[str]) -> bytes:
         """Ids of pieces some of which are not known. A full table becomes the older one, from which pieces in use come back."""
-        if self.held > _CACHE_BYTES:
+        if self.held > self.most:
             self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
         new = {p: older.get(p) or self._piece(p) for p in set(pieces).difference(known)}
         size = _ENTRY * len(new) + sum(map(len, new)) + sum(map(len, new.values()))
-        if size > _CACHE_BYTES:  # one text alone has more
+        if size > self.most:  # one text alone has more
             return b"".join([new[p] if p in new else known[p] for p in pieces])
         self.held += size
         known.update(new)
         return b"".join(map(known.__getitem__, pieces))
 
 
-_ENCODERS: dict[str, FastEncoder] = {}
+_ENCODERS: dict[tuple[str, int], FastEncoder] = {}
 
 
-def encoder(vocabulary: str) -> FastEncoder:
+def encoder(vocabulary: str, cache_bytes: int = CACHE_BYTES) -> FastEncoder:
     """The worker's encoder for a file name of public_tokenizers, or for a path."""
-    if vocabulary not in _ENCODERS:
+    key = vocabulary, cache_bytes
+    if key not in _ENCODERS:
         path = vocabulary
         if "/" not in vocabulary:
             import public_tokenizers
 
             path = public_tokenizers.path(vocabulary)
-        _ENCODERS[vocabulary] = FastEncoder(path)
-    return _ENCODERS[vocabulary]
+        _ENCODERS[key] = FastEncoder(path, cache_bytes)
+    return _ENCODERS[key]
