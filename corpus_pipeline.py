@@ -21,6 +21,8 @@ from tilelake.llm.common import documents, materialize, scratch_scope, ship
 
 #: Share of the tokens that mixing draws.
 MIX_BUDGET = 0.8
+#: Bytes of known pre-tokens in a worker, twice; small, as the workers have served four stages before.
+PACK_CACHE = 32 << 20
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +52,7 @@ def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with their places in training sequences."""
     ship(spark)
-    return packing.pack(docs, "word_bpe_49k.json")
+    return packing.pack(docs, "word_bpe_49k.json", cache_bytes=PACK_CACHE)
 
 
 STAGES = [("quality", quality_stage), ("exact", exact_stage), ("near", near_stage), ("mix", mix_stage), ("pack", pack_stage)]
