@@ -1,8 +1,8 @@
 """Patch embeddings: a registry of embedders and one Arrow UDF that loads a model once per worker.
 
 'histogram' is a deterministic NumPy embedder (768 numbers from pooled, normalised channels and colour counts). A torch
-module is used when torch can be imported and a weights file with the expected SHA-256 is given; without them the name
-is refused, never silently replaced.
+module is used when torch can be imported, the NumPy transformer of swin.py anywhere; both need a weights file with the
+expected SHA-256. Without one the name is refused, never silently replaced.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilelake.functions.color import IMAGENET_MEAN, IMAGENET_STD
+from tilelake.operators import swin
 
 WIDTH = 768
 
@@ -74,6 +75,16 @@ def torch_embedder(path: str, sha256: str) -> Callable[[], Embedder]:
     return load
 
 
+def swin_embedder(path: str, sha256: str, variant: swin.Variant = swin.VARIANTS["tiny"]) -> Callable[[], Embedder]:
+    """A loader for the transformer with the weights of an .npz file; the file is verified before it is read."""
+
+    def load_network() -> Embedder:
+        net = swin.load(path, sha256, variant)
+        return lambda batch: net(normalise(batch))
+
+    return load_network
+
+
 EMBEDDERS: dict[str, Callable[[], Embedder]] = {"histogram": _histogram}
 _LOADED: dict[str, Embedder] = {}
 
@@ -83,7 +94,7 @@ def register_embedder(name: str, load: Callable[[], Embedder]) -> None:
 
 
 def extract_features(patches: DataFrame, model: str = "histogram", patch: int = 224, batch_size: int = 256, rgb: str = "rgb") -> DataFrame:
-    """patches with embedding ARRAY<FLOAT>[768]; null patches have null embeddings."""
+    """patches with embedding ARRAY<FLOAT>, of 768 numbers but for other networks; null patches have null embeddings."""
     if model not in EMBEDDERS:
         raise ValueError(f"unknown model {model!r}; registered: {sorted(EMBEDDERS)}")
     load = EMBEDDERS[model]

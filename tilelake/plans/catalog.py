@@ -6,11 +6,13 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilelake.functions import color, metadata
-from tilelake.operators import embed, foreground, raster, sinks, stain
+from tilelake.operators import embed, foreground, raster, sinks, stain, swin
 from tilelake.plans import config, fixtures, preprocess
 from tilelake.plans import oracles as o
 from tilelake.plans.shipping import ship
@@ -248,6 +250,74 @@ def embed_patches(spark: SparkSession, d: str) -> DataFrame:
     return out.select("slide_id", "patch_id", F.transform("embedding", lambda x: _r(x.cast("double"), 4)).alias("embedding"))
 
 
+def _per_patch(spark: SparkSession, d: str, schema: str, rows: Callable) -> DataFrame:
+    """rows(8 x 8 x 3 pixels) of each patch, as arrays of equal lengths."""
+    names = [f.split()[0] for f in schema.split(", ")]
+
+    def run(batches):
+        for b in batches:
+            for slide, patch, rgb in zip(b["slide_id"], b["patch_id"], b["rgb"], strict=True):
+                out = rows(np.frombuffer(rgb, np.uint8).reshape(1, 8, 8, 3))
+                yield pd.DataFrame({"slide_id": slide, "patch_id": patch, **dict(zip(names, out, strict=True))})
+
+    return fixtures.packed(spark, d).mapInPandas(run, f"slide_id int, patch_id long, {schema}")
+
+
+@_query(o.WINDOW_TOKENS)
+def window_tokens(spark: SparkSession, d: str) -> DataFrame:
+    def rows(x):
+        t = swin.windows(x, 4, 2)[0]
+        assert np.array_equal(swin.unwindows(t[None], 8, 8, 4, 2), x)
+        window, token = np.divmod(np.arange(64), 16)
+        return [window, token, *t.reshape(64, 3).T]
+
+    return _per_patch(spark, d, "window int, token int, r int, g int, b int", rows)
+
+
+@_query(o.MERGED_TOKENS)
+def merged_tokens(spark: SparkSession, d: str) -> DataFrame:
+    return _per_patch(spark, d, "token int, channels array<int>", lambda x: [np.arange(16), list(swin.merge_tokens(x)[0].reshape(16, 12))])
+
+
+@_query(o.POOLED_TOKENS)
+def pooled_tokens(spark: SparkSession, d: str) -> DataFrame:
+    out = _per_patch(spark, d, "r double, g double, b double", lambda x: swin.pool(x.astype(float)).T)
+    return out.select("slide_id", "patch_id", *[_r(c).alias(c) for c in "rgb"])
+
+
+@_query(o.LAYER_NORM)
+def layer_norm(spark: SparkSession, d: str) -> DataFrame:
+    @F.pandas_udf("array<double>")
+    def norm(s: pd.Series) -> pd.Series:
+        return pd.Series([swin.layer_norm(np.asarray(x, float), np.float64(2), np.float64(0.5)) for x in s])
+
+    return fixtures.table(spark, d, "embeddings").select("vec_id", F.transform(norm("embedding"), lambda x: _r(x, 4)).alias("normed"))
+
+
+@_query(o.RELATIVE_INDEX)
+def relative_position_index(spark: SparkSession, d: str) -> DataFrame:
+    at = swin.relative_index(7)
+    return spark.createDataFrame([(i, j, int(at[i, j])) for i in range(49) for j in range(49)], "a int, b int, bias_row int")
+
+
+@_query(o.SHIFT_MASK)
+def shift_mask(spark: SparkSession, d: str) -> DataFrame:
+    return spark.createDataFrame([(int(w), int(a), int(b)) for w, a, b in np.argwhere(swin.shift_mask(14, 7, 3) == 0)], "window int, a int, b int")
+
+
+@_query()
+def swin_features(spark: SparkSession, d: str) -> DataFrame:
+    """Features of a small untrained network; tests hold its parts against loops."""
+    small = swin.Variant(16, (2, 2), window=4, side=32, head_width=8)
+
+    def load() -> embed.Embedder:
+        net = swin.network(small, swin.initial(small, 1))
+        return lambda batch: net(embed.normalise(batch.repeat(4, 1).repeat(4, 2)))
+
+    embed.register_embedder("small", load)
+    return embed.extract_features(fixtures.packed(spark, d), "small", patch=8)
+
+
 @_query(o.RECONSTRUCT)
 def reconstruct_mosaic(spark: SparkSession, d: str) -> DataFrame:
     p = fixtures.packed(spark, d).withColumns({"row": F.floor(F.col("patch_id") / 16).cast("int"), "col": (F.col("patch_id") % 16).cast("int")})

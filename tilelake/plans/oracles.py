@@ -265,6 +265,22 @@ SELECT slide_id, patch_id, list_transform(list_concat(pooled, list_transform(ran
 
 EMBEDDING = _embedding()
 
+WINDOW_TOKENS = f"""
+WITH {PX}, s AS (SELECT *, (pos // 8 + 6) % 8 AS y, (pos + 6) % 8 AS x FROM px)
+SELECT slide_id, patch_id, CAST(y // 4 * 2 + x // 4 AS INT) AS "window", CAST(y % 4 * 4 + x % 4 AS INT) AS token, r, g, b FROM s"""
+MERGED_TOKENS = f"""
+WITH {PX}
+SELECT slide_id, patch_id, CAST(pos // 16 * 4 + pos % 8 // 2 AS INT) AS token, flatten(list([r, g, b] ORDER BY pos % 2, pos // 8)) AS channels FROM px GROUP BY ALL"""
+POOLED_TOKENS = f"WITH {PX} SELECT slide_id, patch_id, round(avg(r), 6) AS r, round(avg(g), 6) AS g, round(avg(b), 6) AS b FROM px GROUP BY ALL"
+LAYER_NORM = """
+WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+m AS (SELECT *, list_avg(e) AS mean, list_var_pop(e) AS var FROM e)
+SELECT vec_id, list_transform(e, lambda x: round((x - mean) / sqrt(var + 1e-5) * 2 + 0.5, 4)) AS normed FROM m"""
+RELATIVE_INDEX = "SELECT CAST(a AS INT) AS a, CAST(b AS INT) AS b, CAST((a // 7 - b // 7 + 6) * 13 + a % 7 - b % 7 + 6 AS INT) AS bias_row FROM range(49) i(a), range(49) j(b)"
+SHIFT_MASK = """
+WITH t AS (SELECT w, t, w // 2 = 1 AND t // 7 >= 4 AS low, w % 2 = 1 AND t % 7 >= 4 AS far FROM range(4) i(w), range(49) j(t))
+SELECT CAST(p.w AS INT) AS "window", CAST(p.t AS INT) AS a, CAST(q.t AS INT) AS b FROM t p JOIN t q ON p.w = q.w AND p.low = q.low AND p.far = q.far"""
+
 #: Slides of the end-to-end queries: URL, width, height, resolution (none: not known).
 SLIDES = [("synthetic://300x200?seed=1&levels=2&mpp=2.0", 300, 200, 2.0), ("synthetic://100x90?seed=2&mpp=1.0", 100, 90, 1.0), ("synthetic://64x64?seed=3", 64, 64, None), ("nowhere.svs", None, None, None)]
 _SLIDES = "s(path, w, h, mpp) AS (VALUES " + ", ".join(f"({_text(p)}, {w or 'NULL'}, {h or 'NULL'}, {f'{m}e0' if m else 'NULL'})" for p, w, h, m in SLIDES) + ")"
