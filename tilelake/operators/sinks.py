@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tilelake.operators import arrays
+
 if TYPE_CHECKING:
     from tilelake.plans.config import OutputConfig
 
@@ -59,8 +61,20 @@ def write_partitioned(df: DataFrame, path: str, table: str, per_file: int = 0) -
     w.partitionBy("slide_id").parquet(f"{path}/{table}")
 
 
-def write_outputs(patches: DataFrame, grid: DataFrame, path: str, out: OutputConfig, patches_per_file: int = 4096) -> None:
+def write_groups(patches: DataFrame, grid: DataFrame, path: str, out: OutputConfig, patch: int, width: int) -> None:
+    """The same outputs as a Zarr group for each slide."""
+    rows = {"patches": ("rgb", [patch, patch, 3], "|u1", out.patches), "normalized_patches": ("normalized", [patch, patch, 3], "|u1", out.normalized_patches),
+            "features": ("embedding", [width], "<f4", out.features), "coords": ("place", [2], "<i4", out.coords)}
+    patches = patches.withColumn("place", F.array("x", "y"))
+    columns = {name: (c, shape, dtype) for name, (c, shape, dtype, on) in rows.items() if on and c in patches.columns}
+    arrays.write_zarr(patches, grid, path, columns, with_grid=out.patch_index_grid)
+
+
+def write_outputs(patches: DataFrame, grid: DataFrame, path: str, out: OutputConfig, patches_per_file: int = 4096, patch: int = 224, width: int = 768) -> None:
     """patches: slide_id, row, col, x, y, rgb and, where made, normalized and embedding."""
+    if out.format == "zarr":
+        write_groups(patches, grid, path, out, patch, width)
+        return
     place = ["slide_id", "row", "col", "x", "y"]
     if out.coords:
         write_partitioned(patches.select(*place), path, "coords")

@@ -222,3 +222,28 @@ def sparse_transform(hist: DataFrame, vectors: DataFrame, target: tuple[tuple[fl
     c1, c2 = lasso_two([F.col(c) for c in HE[:3]], [F.col(c) for c in HE[3:]], [F.col(c) for c in OD], lam)
     new = {f"n{c}": clip255(255.0 * F.exp(-(target[k][0] * c1 + target[k][1] * c2))).cast("int") for k, c in enumerate(CHANNELS)}
     return rows.withColumns({"c_h": c1, "c_e": c2}).withColumns(new).select(key, *CHANNELS, "n", "c_h", "c_e", *new)
+
+
+@dataclass(frozen=True)
+class SparseStainModel:
+    """The variant's normaliser: fitted to one target, then applied to any slides."""
+
+    target: tuple[tuple[float, float], ...] = HE_REF
+
+    @staticmethod
+    def fit(hist: DataFrame, key: str = "slide_id") -> SparseStainModel:
+        """The stain matrix of a target of one slide, after its brightness is standardised."""
+        row = sparse_stain_vectors(_bright(hist, key), key).head()
+        if row is None or row[HE[0]] is None:
+            raise ValueError("the target has too little tissue")
+        return SparseStainModel(tuple((row[a], row[b]) for a, b in zip(HE[:3], HE[3:], strict=True)))
+
+    def transform(self, hist: DataFrame, key: str = "slide_id") -> DataFrame:
+        """Standardised colours with nr, ng, nb."""
+        bright = _bright(hist, key)
+        return sparse_transform(bright, sparse_stain_vectors(bright, key), self.target, key)
+
+
+def _bright(hist: DataFrame, key: str) -> DataFrame:
+    h = standardise_brightness(hist, key)
+    return h.groupBy(key, *[F.col(f"s{c}").alias(c) for c in CHANNELS]).agg(F.sum("n").alias("n"))

@@ -32,6 +32,7 @@ class FeatureConfig:
     enabled: bool = True
     model: str = "histogram"
     batch_size: int = 256
+    width: int = 768
 
 
 @dataclass(frozen=True)
@@ -59,7 +60,7 @@ class Config:
     slides_per_batch: int | None = None
 
     def validate(self) -> Config:
-        if self.output.format != "parquet":
+        if self.output.format not in ("parquet", "zarr"):
             raise ValueError(f"unknown output format {self.output.format!r}")
         if self.stain.method != "macenko":
             raise ValueError(f"unknown stain method {self.stain.method!r}")

@@ -66,7 +66,7 @@ def run_batch(spark: SparkSession, batch: DataFrame, config: Config, model: stai
             failed = {r.slide_id for r in all_patches.where("error is not null").select("slide_id").distinct().collect()}
             whole = all_patches.where("error is null")
             grid = raster.patch_index_grid(whole.select("slide_id", "row", "col", "is_foreground"))
-            sinks.write_outputs(finish(whole.where("is_foreground"), config, model), grid, config.output.path, config.output)
+            sinks.write_outputs(finish(whole.where("is_foreground"), config, model), grid, config.output.path, config.output, patch=config.patch_size, width=config.features.width)
         finally:
             all_patches.unpersist()
             spark.sparkContext.setJobDescription(None)
