@@ -1,5 +1,7 @@
 import json
 import os
+import sys
+import types
 
 import numpy as np
 import pytest
@@ -31,6 +33,34 @@ def test_read_region_contract(tmp_path):
         open_slide("x", "nothing")
 
 
+def test_library_backends_with_stand_ins(monkeypatch):
+    """The libraries are absent here: modules of their interface take their place."""
+    a = np.random.default_rng(1).integers(0, 256, (8, 8, 4), dtype=np.uint8)
+
+    class Slide:
+        level_dimensions, level_downsamples, properties = ((8, 8),), (1.0,), {"openslide.mpp-x": "0.5"}
+        resolutions = {"level_dimensions": ((8, 8),), "level_downsamples": (1.0,)}
+
+        def __init__(self, path):
+            self.path = path
+
+        def read_region(self, location, level, size):
+            (x, y), (w, h) = location, size
+            return a[y : y + h, x : x + w]
+
+        def close(self):
+            pass
+
+    monkeypatch.setitem(sys.modules, "openslide", types.SimpleNamespace(OpenSlide=Slide))
+    monkeypatch.setitem(sys.modules, "cucim", types.SimpleNamespace(CuImage=Slide))
+    for backend in ("openslide", "cucim"):
+        with open_slide("x.svs", backend) as s:
+            assert s.properties["openslide.mpp-x"] == "0.5" and s.level_dimensions == [(8, 8)] and s.best_level_for_downsample(4.0) == 0
+            assert np.array_equal(s.read_region((1, 2), 0, (3, 4)), a[2:6, 1:4, :3])
+            with pytest.raises(ValueError, match="negative"):
+                s.read_region((0, 0), 0, (1, -1))
+
+
 def test_tiles_cover_the_level(spark, tmp_path):
     a = np.random.default_rng(0).integers(0, 255, (50, 70, 3)).astype(np.uint8)
     os.makedirs(tmp_path / "s")

@@ -36,6 +36,14 @@ def _header(shape: list[int], chunks: list[int], dtype: str) -> bytes:
     return json.dumps({"zarr_format": 2, "shape": shape, "chunks": chunks, "dtype": dtype, "order": "C", "fill_value": 0, "filters": None, "compressor": {"id": "zlib", "level": 1}}).encode()
 
 
+def mounted(path: str) -> str:
+    """A path for the file system's own calls."""
+    plain = path.removeprefix("file://") if path.startswith("file://") else path.removeprefix("file:")
+    if "://" in plain:
+        raise ValueError(f"{path}: groups are written to mounted folders only")
+    return plain.rstrip("/")
+
+
 def group_path(out: str, slide_id: str) -> str:
     return f"{out}/{os.path.splitext(os.path.basename(slide_id.rstrip('/')))[0]}.zarr"
 
@@ -46,6 +54,7 @@ def write_zarr(patches: DataFrame, grid: DataFrame, out: str, columns: dict[str,
     columns: array name -> (column of patches, shape of one row, dtype); binary columns hold the bytes of a row, others
     its numbers. patches must hold all kept places of the grid. Arrays are ordered by patch_index.
     """
+    out = mounted(out)
     sizes = grid.groupBy("slide_id").agg(F.max("row").alias("rows"), F.max("col").alias("cols"), (F.max("patch_index") + 1).alias("n"))
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,11 +96,12 @@ def write_zarr(patches: DataFrame, grid: DataFrame, out: str, columns: dict[str,
     if columns:
         wanted = sorted({c for c, _, _ in columns.values()})
         kept = patches.select("slide_id", "row", "col", *wanted).join(grid.where("patch_index >= 0").select("slide_id", "row", "col", "patch_index"), ["slide_id", "row", "col"])
-        go(kept.groupBy("slide_id", F.floor(F.col("patch_index") / chunk)).applyInPandas(lambda b: write_chunk(b), WRITTEN))
+        go(kept.groupBy("slide_id", F.floor(F.col("patch_index") / chunk)).applyInPandas(write_chunk, WRITTEN))
 
 
 def read_zarr(spark: SparkSession, out: str, name: str) -> DataFrame:
     """stem, idx, data: each row of an array of all groups under out, as its bytes. One task reads one chunk at a time."""
+    out = mounted(out)
     files = [(os.path.basename(os.path.dirname(os.path.dirname(p)))[:-5], os.path.dirname(p), os.path.basename(p)) for p in sorted(glob.glob(f"{out}/*.zarr/{name}/[0-9]*"))]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilelake.functions import color, metadata
-from tilelake.operators import embed, foreground, raster, sinks, stain, swin
+from tilelake.operators import arrays, embed, foreground, raster, sinks, stain, swin
 from tilelake.plans import config, fixtures, preprocess
 from tilelake.plans import oracles as o
 from tilelake.plans.shipping import ship
@@ -34,6 +34,16 @@ def _r(c: str | Column, digits: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one; a temporary one in local mode only."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and the executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="tilelake-")
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _hist(spark: SparkSession, d: str) -> DataFrame:
     return stain.color_histogram(fixtures.pixels(spark, d))
 
@@ -250,6 +260,17 @@ def embed_patches(spark: SparkSession, d: str) -> DataFrame:
     return out.select("slide_id", "patch_id", F.transform("embedding", lambda x: _r(x.cast("double"), 4)).alias("embedding"))
 
 
+@_query(o.ZARR_GROUPS)
+def zarr_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Kept patches written as a Zarr group for each slide, and read back."""
+    out = _folder(spark, "zarr")
+    places = fixtures.patches(spark, d).withColumn("slide_id", F.concat(F.lit("s"), "slide_id"))
+    grid = raster.patch_index_grid(places)
+    pixels = fixtures.packed(spark, d).select(F.concat(F.lit("s"), "slide_id").alias("slide_id"), F.floor(F.col("patch_id") / 16).cast("int").alias("row"), (F.col("patch_id") % 16).cast("int").alias("col"), "rgb")
+    arrays.write_zarr(pixels, grid, out, {"patches": ("rgb", [8, 8, 3], "|u1")})
+    return arrays.read_zarr(spark, out, "patches").select("stem", "idx", F.hex("data").alias("pixels"))
+
+
 def _per_patch(spark: SparkSession, d: str, schema: str, rows: Callable) -> DataFrame:
     """rows(8 x 8 x 3 pixels) of each patch, as arrays of equal lengths."""
     names = [f.split()[0] for f in schema.split(", ")]
@@ -416,8 +437,7 @@ def slide_headers(spark: SparkSession, d: str) -> DataFrame:
 @_query(o.PROCESS_SLIDES)
 def process_slides(spark: SparkSession, d: str) -> DataFrame:
     """The whole plan over the same slides: status log, grid, and whether features, patches, normalised patches and coordinates hold the same patches."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="tilelake-")
-    out = f"{base.rstrip('/')}/process-{uuid.uuid4().hex}"
+    out = _folder(spark, "process")
     settings = config.Config(output=config.OutputConfig(path=out), patch_size=8, target_mpp=2.0)
     preprocess.run(spark, settings, slides.slides_from_paths(spark, [p for p, *_ in o.SLIDES]))
     grid = sinks.read_results(spark, out, "patch_index_grid")

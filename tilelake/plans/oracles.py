@@ -265,6 +265,10 @@ SELECT slide_id, patch_id, list_transform(list_concat(pooled, list_transform(ran
 
 EMBEDDING = _embedding()
 
+ZARR_GROUPS = f"""
+WITH {PX},
+pp AS (SELECT patch_id, string_agg(printf('%02X%02X%02X', r, g, b), '' ORDER BY pos) AS pixels FROM px GROUP BY patch_id)
+SELECT 's' || label AS stem, row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS idx, pixels FROM embeddings JOIN pp ON patch_id = vec_id WHERE embedding[1] >= 0"""
 WINDOW_TOKENS = f"""
 WITH {PX}, s AS (SELECT *, (pos // 8 + 6) % 8 AS y, (pos + 6) % 8 AS x FROM px)
 SELECT slide_id, patch_id, CAST(y // 4 * 2 + x // 4 AS INT) AS "window", CAST(y % 4 * 4 + x % 4 AS INT) AS token, r, g, b FROM s"""

@@ -158,7 +158,33 @@ def _openslide(path: str) -> SlideReader:
     return Reader()
 
 
-BACKENDS: dict[str, Callable[[str], SlideReader]] = {"synthetic": SyntheticReader, "ppm": _ppm, "npy": _npy, "openslide": _openslide}
+def _cucim(path: str) -> SlideReader:
+    """Pixels by cuCIM, resolution and properties by OpenSlide of the same file."""
+    from cucim import CuImage
+
+    class Reader(SlideReader):
+        def __init__(self) -> None:
+            self.image = CuImage(path)
+            levels = self.image.resolutions
+            self.level_dimensions, self.level_downsamples = [tuple(d) for d in levels["level_dimensions"]], list(levels["level_downsamples"])
+            with _openslide(path) as other:
+                self.properties = other.properties
+
+        def read_region(self, loc: tuple[int, int], level: int, size: tuple[int, int]) -> np.ndarray:
+            if min(size) < 0:
+                raise ValueError("sizes can't be negative")
+            return np.asarray(self.image.read_region(location=loc, size=size, level=level))[..., :3]
+
+        def _region(self, x: int, y: int, level: int, w: int, h: int) -> np.ndarray:
+            raise NotImplementedError
+
+        def close(self) -> None:
+            self.image.close()
+
+    return Reader()
+
+
+BACKENDS: dict[str, Callable[[str], SlideReader]] = {"synthetic": SyntheticReader, "ppm": _ppm, "npy": _npy, "openslide": _openslide, "cucim": _cucim}
 
 
 def open_slide(path: str, backend: str = "auto") -> SlideReader:
