@@ -2,8 +2,8 @@
 
 The pre-tokens of a text in the Latin blocks are cut by the pattern that the vocabulary file names; the library's model
 encodes each distinct one, and a bounded table keeps the ids as bytes. Texts with other characters, or with characters on
-whose class two Unicode tables may differ, go to the library whole. Both ways give the ids of
-Tokenizer.encode(text, add_special_tokens=False) with special strings taken as ordinary text; tests compare them.
+whose class two Unicode tables may differ, or with the string of a special token, go to the library whole. Both ways give
+the ids of Tokenizer.encode(text, add_special_tokens=False); tests compare them.
 """
 
 from __future__ import annotations
