@@ -279,7 +279,7 @@ POOLED_TOKENS = f"WITH {PX} SELECT slide_id, patch_id, round(avg(r), 6) AS r, ro
 LAYER_NORM = """
 WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 m AS (SELECT *, list_avg(e) AS mean, list_var_pop(e) AS var FROM e)
-SELECT vec_id, list_transform(e, lambda x: round((x - mean) / sqrt(var + 1e-5) * 2 + 0.5, 4)) AS normed FROM m"""
+SELECT vec_id, list_transform(e, lambda x: round((x - mean) / sqrt(var + 1e-5) * 2 + 0.5, 4) + 0e0) AS normed FROM m"""
 RELATIVE_INDEX = "SELECT CAST(a AS INT) AS a, CAST(b AS INT) AS b, CAST((a // 7 - b // 7 + 6) * 13 + a % 7 - b % 7 + 6 AS INT) AS bias_row FROM range(49) i(a), range(49) j(b)"
 SHIFT_MASK = """
 WITH t AS (SELECT w, t, w // 2 = 1 AND t // 7 >= 4 AS low, w % 2 = 1 AND t % 7 >= 4 AS far FROM range(4) i(w), range(49) j(t))
