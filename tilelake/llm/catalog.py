@@ -11,8 +11,8 @@ from .common import ship
 
 _QUERIES = {
     "op1_mixing": (mixing.op1_mixing, mixing.SQL),
-    "op2_jaccard_join": (jaccard.op2_jaccard_join, None),
-    "op3_secret_scan": (secret_scan.op3_secret_scan, None),
+    "op2_jaccard_join": (jaccard.op2_jaccard_join, jaccard.SQL),
+    "op3_secret_scan": (secret_scan.op3_secret_scan, secret_scan.SQL),
     "op4_best_fit_packing": (packing.op4_best_fit_packing, None),
     "op5_token_files": (token_files.op5_token_files, None),
     "op6_pii": (pii.op6_pii, None),

@@ -728,3 +728,22 @@ def keep_one_of_each_group(docs: DataFrame, width: int = 5, percent: int = 80) -
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir))
+
+
+SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+g AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))
+                                    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g
+  FROM w),
+x AS (SELECT doc_id, len(g) AS n, unnest(g) AS t FROM g WHERE doc_id IS NOT NULL),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM x a JOIN x b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+reached AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+low AS (SELECT a, min(b) AS m FROM reached GROUP BY a)
+SELECT g.doc_id, CAST(len(g.g) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce(low.m, g.doc_id)) AS component_id
+FROM g LEFT JOIN low ON low.a = g.doc_id
+"""

@@ -13,6 +13,8 @@ owner; an empty table gives an empty result; texts of any length are scanned who
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -120,3 +122,47 @@ def secret_scan(docs: DataFrame, owner: Column, repository: Column, max_owners:
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owner: the source. Repository: a language within a source."""
     return secret_scan(documents(spark, sf_dir), F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+def _sql() -> str:
+    """The same rows in DuckDB's SQL, whose regular expressions fold more than A-Z: letters in either case are spelt out."""
+
+    def plain(pattern: str) -> str:
+        if pattern.startswith("(?i)"):
+            words = pattern[4:].split(")", 1)
+            pattern = re.sub("[a-z]", lambda m: f"[{m[0].upper()}{m[0]}]", words[0]) + ")" + words[1]
+        return pattern.replace("'", "''")
+
+    found = "\n  UNION ALL ".join(
+        f"SELECT uid, owner, {i} AS ord, '{kind}' AS kind, {least} AS least, string_split_regex(text, '{plain(p)}') AS gaps, "
+        f"regexp_extract_all(text, '{plain(p)}', 0) AS whole, regexp_extract_all(text, '{plain(p)}', {group}) AS vals FROM d"
+        for i, (kind, (p, group, least)) in enumerate((BASE | EXTRA).items())
+    )
+    n = len(BASE)
+    counts = ", ".join(f"count(c.uid) FILTER (c.ord = {i}) AS n_{kind}" for i, kind in enumerate(BASE))
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, source AS owner, coalesce(text, '') AS text FROM documents),
+f AS (
+  {found}),
+i AS (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM f),
+c AS (
+  SELECT uid, owner, ord, kind, vals[i] AS v, least, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS s,
+         length(whole[i]) AS n
+  FROM i),
+ok AS (
+  SELECT uid, owner, ord, kind, v, CAST(s AS BIGINT) AS s, CAST(s + n AS BIGINT) AS e,
+         len(list_distinct(string_split(v, ''))) >= 10 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND NOT regexp_matches(v, '{PLACEHOLDER}') AS random
+  FROM c WHERE length(v) >= least AND (kind <> 'mixed' OR (regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[0-9]')))),
+owned AS (SELECT v, count(DISTINCT owner) + max(CAST(owner IS NULL AS INT)) > 2 AS copied FROM ok GROUP BY v),
+judged AS (SELECT ok.*, copied, random AND NOT copied AS live, kind || ':' || s || ':' || e AS span FROM ok JOIN owned USING (v)),
+docs AS (
+  SELECT d.uid, any_value(d.doc_id) AS doc_id, {counts},
+         sha256(coalesce(string_agg(c.span, ',' ORDER BY c.s, c.ord) FILTER (c.ord < {n}), '')) AS base_sha256,
+         coalesce(string_agg(c.span, ',' ORDER BY c.s, c.ord) FILTER (c.ord < {n} OR c.live), '') AS spans,
+         count(c.uid) FILTER (c.live) AS n_live, count(c.uid) FILTER (c.copied) AS n_copied
+  FROM d LEFT JOIN judged c ON c.uid = d.uid GROUP BY d.uid)
+SELECT * EXCLUDE (uid) FROM docs
+"""
+
+
+SQL = _sql()
