@@ -10,6 +10,8 @@ colours pass through unchanged. Eigenvector signs are fixed so that the mean opt
 
 from __future__ import annotations
 
+import contextlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,15 +22,33 @@ from pyspark.sql import functions as F
 
 from tilelake.functions.color import ALPHA, BETA, CHANNELS, HE_REF, IO, MAXC_REF, clip255, is_tissue, od_columns, optical_density_255
 from tilelake.functions.linalg import eigenvector, lasso_two, solve_two, symmetric_eigenvalues
+from tilelake.operators.raster import packed_histogram
 
 OD = ["od_r", "od_g", "od_b"]
 COVARIANCES = {"c_rr": (0, 0), "c_rg": (0, 1), "c_rb": (0, 2), "c_gg": (1, 1), "c_gb": (1, 2), "c_bb": (2, 2)}
 HE = ["he_r1", "he_g1", "he_b1", "he_r2", "he_g2", "he_b2"]
 
 
-def _kept(per_slide: DataFrame) -> DataFrame:
-    """A table of one row per slide that later steps use more than once, computed once. Lost blocks are computed again."""
-    return per_slide.persist(StorageLevel.MEMORY_AND_DISK)
+_HELD: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def holding() -> Iterator[None]:
+    """Releases at its end the tables that the operators kept inside. For results that are written before it ends."""
+    _HELD.append([])
+    try:
+        yield
+    finally:
+        for df in _HELD.pop():
+            df.unpersist()
+
+
+def _kept(table: DataFrame) -> DataFrame:
+    """A table that later steps use more than once, computed once. Lost blocks are computed again."""
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
+    if _HELD:
+        _HELD[-1].append(table)
+    return table
 
 
 def color_histogram(pixels: DataFrame, key: str = "slide_id") -> DataFrame:
@@ -162,6 +182,11 @@ def normalise_patches(patches: DataFrame, statistics: DataFrame, model: StainMod
     return wide.withColumn("normalized", recolour("rgb", "stain_stats")).drop("stain_stats")
 
 
+def patch_statistics(patches: DataFrame, exact: bool = True) -> DataFrame:
+    """stain_statistics of packed patches, kept: the patches are counted once, whatever number of outputs needs the result."""
+    return _kept(stain_statistics(_kept(packed_histogram(patches)), exact=exact))
+
+
 class StainNormalizer:
     """Estimator: fit() on the pixels of one reference image gives a StainModel."""
 

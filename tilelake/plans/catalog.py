@@ -132,7 +132,7 @@ def stain_normalize_pixels(spark: SparkSession, d: str) -> DataFrame:
 @_query(o.stain("pixels_packed"))
 def stain_normalize_packed(spark: SparkSession, d: str) -> DataFrame:
     p = fixtures.packed(spark, d)
-    out = stain.normalise_patches(p, stain.stain_statistics(raster.packed_histogram(p)), stain.StainModel())
+    out = stain.normalise_patches(p, stain.patch_statistics(p), stain.StainModel())
     return out.select(F.col("slide_id").cast("int").alias("slide_id"), "patch_id", F.hex("normalized").alias("normalized"))
 
 

@@ -43,8 +43,7 @@ def finish(kept: DataFrame, config: Config, model: stain.StainModel) -> DataFram
     """Foreground patches with normalized and embedding, as configured."""
     source = "rgb"
     if config.stain.enabled:
-        stats = stain.stain_statistics(raster.packed_histogram(kept), exact=model.exact)
-        kept, source = stain.normalise_patches(kept, stats, model), "normalized"
+        kept, source = stain.normalise_patches(kept, stain.patch_statistics(kept, model.exact), model), "normalized"
     if config.features.enabled:
         kept = embed.extract_features(kept, config.features.model, config.patch_size, config.features.batch_size, source)
     return kept
@@ -66,7 +65,8 @@ def run_batch(spark: SparkSession, batch: DataFrame, config: Config, model: stai
             failed = {r.slide_id for r in all_patches.where("error is not null").select("slide_id").distinct().collect()}
             whole = all_patches.where("error is null")
             grid = raster.patch_index_grid(whole.select("slide_id", "row", "col", "is_foreground"))
-            sinks.write_outputs(finish(whole.where("is_foreground"), config, model), grid, config.output.path, config.output, patch=config.patch_size, width=config.features.width)
+            with stain.holding():
+                sinks.write_outputs(finish(whole.where("is_foreground"), config, model), grid, config.output.path, config.output, patch=config.patch_size, width=config.features.width)
         finally:
             all_patches.unpersist()
             spark.sparkContext.setJobDescription(None)
@@ -91,7 +91,8 @@ def run(spark: SparkSession, config: Config, slides: DataFrame | None = None) ->
     paths = todo.select("path", "stem").collect()  # names only, a row per slide
     if not paths:
         log.warning("no slides to process")
-    model = fit_reference(spark, config)
+    with stain.holding():
+        model = fit_reference(spark, config)
     step = config.slides_per_batch or max(1, spark.sparkContext.defaultParallelism // 16)  # a batch's patches are held together
     for i in range(0, len(paths), step):
         run_batch(spark, spark.createDataFrame(paths[i : i + step], "path string, stem string"), config, model)
