@@ -1,6 +1,7 @@
 """Tiles of slides as a Spark data source.
 
-One input partition is a run of tiles of one level of one slide, so scans scale with tiles, not with slides. level,
+One input partition is a run of tiles of one level of one slide, so scans scale with tiles, not with slides: at most
+PER_PARTITION tiles, and fewer where there would be fewer runs than the option tasks asks for. level,
 tile_y and tile_x can be pushed down: partitions outside a pushed level are never planned. A tile that can't be read is
 a row with null data and the reason in error; a slide that can't be opened is one such row. The source is read-only.
 """
@@ -45,6 +46,7 @@ class TileReader(DataSourceReader):
         self.tiles = json.loads(options["tiles"])  # side per slide
         self.levels = json.loads(options["levels"])  # level per slide, null for all
         self.backend = options.get("backend", "auto")
+        self.tasks = int(options.get("tasks", "1"))
         self.only: int | None = None
 
     def pushFilters(self, filters):  # noqa: N802, ANN001, ANN201
@@ -54,7 +56,7 @@ class TileReader(DataSourceReader):
             yield f  # still checked above the scan
 
     def partitions(self) -> list[TileRange]:
-        out = []
+        out, found = [], []
         for path, tile, level in zip(self.paths, self.tiles, self.levels, strict=True):
             try:
                 with open_slide(path, self.backend) as s:
@@ -65,8 +67,10 @@ class TileReader(DataSourceReader):
             for i, (w, h) in enumerate(sizes):
                 if (level is not None and i != level) or (self.only is not None and i != self.only):
                     continue
-                columns, total = math.ceil(w / tile), math.ceil(w / tile) * math.ceil(h / tile)
-                out += [TileRange(path, i, k, min(k + PER_PARTITION, total), columns, tile, self.backend) for k in range(0, total, PER_PARTITION)]
+                found.append((path, i, math.ceil(w / tile), math.ceil(w / tile) * math.ceil(h / tile), tile))
+        step = max(1, min(PER_PARTITION, sum(total for *_, total, _ in found) // self.tasks))
+        for path, i, columns, total, tile in found:
+            out += [TileRange(path, i, k, min(k + step, total), columns, tile, self.backend) for k in range(0, total, step)]
         return out or [TileRange("", -1, 0, 0, 1, 1, self.backend)]
 
     def read(self, p: TileRange) -> Iterator[tuple]:
@@ -104,4 +108,4 @@ def read_tiles(spark: SparkSession, paths: list[str], tile: int | list[int], lev
     spark.dataSource.register(TileSource)
     tiles = tile if isinstance(tile, list) else [tile] * len(paths)
     levels = level if isinstance(level, list) else [level] * len(paths)
-    return spark.read.format("tilelake_tiles").options(paths=json.dumps(paths), tiles=json.dumps(tiles), levels=json.dumps(levels), backend=backend).load()
+    return spark.read.format("tilelake_tiles").options(paths=json.dumps(paths), tiles=json.dumps(tiles), levels=json.dumps(levels), backend=backend, tasks=str(spark.sparkContext.defaultParallelism)).load()
